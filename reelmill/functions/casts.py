@@ -46,8 +46,8 @@ def normalize_nulls(
 def coerce_double(column: Column) -> Column:
     """Number or NULL; NaN and infinities become NULL."""
     text = column.cast("string")
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(number) < float("inf")), number)
 
 
 def coerce_int(column: Column, fractions: str = "error") -> Column:
@@ -58,14 +58,14 @@ def coerce_int(column: Column, fractions: str = "error") -> Column:
     other text is matched against the number pattern.
     """
     text = column.cast("string")
-    number = coerce_double(column)
+    number = text.try_cast("double")
     whole = F.when(number == F.rint(number), number.try_cast("bigint"))
     if fractions == "error":
-        failure = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("bigint")
-        whole = F.when(number.isNotNull(), F.coalesce(whole, failure))
+        failure = F.raise_error(F.concat(F.lit("not a whole number: "), text))
+        whole = F.coalesce(whole, failure.cast("bigint"))
     elif fractions != "null":
         raise ValueError(f"fractions must be 'error' or 'null', not {fractions!r}")
-    return F.coalesce(text.try_cast("bigint"), whole)
+    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(NUMBER), whole))
 
 
 def strict_int(column: Column) -> Column:

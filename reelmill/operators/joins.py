@@ -12,18 +12,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-CHECK_BYTES = 1 << 30       # inputs estimated below this are never checked
+CHECK_BYTES = 1 << 30       # inputs smaller than this are never checked
 HOT_ROWS = 1_000_000        # a key with fewer rows does not trouble one task
 SUPPORT = 0.001             # share of rows that makes a candidate; at most 1/SUPPORT keys
 
 
-def estimated_bytes(df: DataFrame) -> float:
-    """Catalyst's size estimate; infinite where the session does not expose it."""
+def input_bytes(df: DataFrame) -> float:
+    """Size of what the plan reads; infinite where the session does not expose it.
+
+    Leaves are summed because Catalyst estimates a join as the product of its sides.
+    """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return float(str(stats.sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     except AttributeError:
         return float("inf")
+    return sum(float(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def hot_keys(
@@ -56,7 +59,7 @@ def left_join(
     aggregation by it.
     """
     watched = left if right_unique else right
-    if estimated_bytes(watched) < check_bytes:
+    if input_bytes(watched) < check_bytes:
         return left.join(right, key, "left")
     hot = hot_keys(watched, key, hot_rows)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)

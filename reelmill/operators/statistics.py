@@ -23,8 +23,27 @@ class _Search:
     below: int
 
 
+@dataclass(frozen=True)
+class Range:
+    """Non-NULL count, least and greatest value of a column."""
+
+    rows: int
+    low: float | None
+    high: float | None
+
+
+def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, Range]:
+    """Ranges of all columns from one pass."""
+    wanted = [f(c) for c in columns for f in (F.count, F.min, F.max)]
+    totals = df.agg(*[total.alias(f"_{i}") for i, total in enumerate(wanted)]).first()
+    return {c: Range(*totals[3 * i : 3 * i + 3]) for i, c in enumerate(columns)}
+
+
 def exact_medians(
-    df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS
+    df: DataFrame,
+    columns: Sequence[str],
+    ranges: dict[str, Range] | None = None,
+    buckets: int = BUCKETS,
 ) -> dict[str, float | None]:
     """Exact interpolated median of every column, NULLs left out.
 
@@ -34,21 +53,14 @@ def exact_medians(
     holds the values and the number of passes depends on their range, not on their
     number: one pass for years or minutes, two or three for vote counts.
     """
-    totals = df.agg(
-        *[
-            total.alias(f"{kind}_{i}")
-            for i, c in enumerate(columns)
-            for kind, total in (("n", F.count(c)), ("lo", F.min(c)), ("hi", F.max(c)))
-        ]
-    ).first()
+    ranges = ranges or column_ranges(df, columns)
     found: dict[tuple[str, int], float] = {}
     searches = []
     ranks = {}
-    for i, c in enumerate(columns):
-        n = totals[f"n_{i}"]
+    for c in columns:
+        n, low, high = ranges[c].rows, ranges[c].low, ranges[c].high
         ranks[c] = sorted({(n - 1) // 2, n // 2}) if n else []
-        for r in ranks[c]:
-            searches.append(_Search(c, r, float(totals[f"lo_{i}"]), float(totals[f"hi_{i}"]), 0))
+        searches += [_Search(c, rank, float(low), float(high), 0) for rank in ranks[c]]
     while searches:
         still_open = []
         for s in searches:

@@ -17,8 +17,14 @@ FIRST_YEAR = 2000
 
 
 def typed_basics(raw: DataFrame, tokens=NULL_TOKENS, fractions: str = "error") -> DataFrame:
-    """Title rows with NULL tokens removed and figures typed."""
-    return normalize_nulls(raw, tokens).withColumns(
+    """Title rows with NULL tokens removed and figures typed.
+
+    The lenient casts already give NULL for every token, so their columns skip the
+    token check; the year's cast sits in the filter too and stays short.
+    """
+    lenient = {"startYear", "runtimeMinutes"}
+    texts = [c for c in raw.columns if c not in lenient]
+    return normalize_nulls(raw, tokens, texts).withColumns(
         {
             "isAdult": strict_int(F.col("isAdult")),
             "startYear": coerce_int(F.col("startYear"), fractions),
@@ -41,7 +47,7 @@ def basics_clean(raw: DataFrame, tokens=NULL_TOKENS, fractions: str = "error") -
 
 
 def ratings_clean(raw: DataFrame, tokens=NULL_TOKENS, fractions: str = "error") -> DataFrame:
-    typed = normalize_nulls(raw, tokens).withColumns(
+    typed = normalize_nulls(raw, tokens, ["tconst"]).withColumns(
         {
             "averageRating": coerce_double(F.col("averageRating")),
             "numVotes": coerce_int(F.col("numVotes"), fractions),

@@ -11,10 +11,10 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmill.functions.casts import numeric
-from reelmill.functions.eras import era_flags, era_label
+from reelmill.functions.eras import NO_YEAR_FALLBACK, era_flags, era_label
 from reelmill.functions.genres import UNKNOWN, genre_tokens
 from reelmill.operators.encode import genre_flags, genre_vocabulary
-from reelmill.operators.statistics import exact_medians, max_year, regression_metrics
+from reelmill.operators.statistics import column_ranges, exact_medians, regression_metrics
 from reelmill.sources.schemas import PREDICTIONS
 
 # Year spans of the split (both ends inclusive).
@@ -119,10 +119,13 @@ def with_era(prepared: DataFrame, latest_year: int) -> DataFrame:
 
 def fit_features(prepared: DataFrame) -> FeatureSpec:
     """Latest year, genre vocabulary and medians of all rows."""
+    figures = prepared.select(*NUMERIC_FEATURES)
+    ranges = column_ranges(figures, NUMERIC_FEATURES)
+    latest = ranges["startYear"].high
     return FeatureSpec(
-        max_year=max_year(prepared).first()["max_year"],
+        max_year=NO_YEAR_FALLBACK if latest is None else int(latest),
         genres=tuple(genre_vocabulary(prepared)),
-        medians=exact_medians(prepared.select(*NUMERIC_FEATURES), NUMERIC_FEATURES),
+        medians=exact_medians(figures, NUMERIC_FEATURES, ranges),
     )
 
 

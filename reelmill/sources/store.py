@@ -46,7 +46,7 @@ class TableStore:
         """The published rows; a declared table never loaded is empty."""
         location = self.current().get(table)
         if location is None:
-            return self.spark.createDataFrame([], self.schemas[table])
+            return self.spark.createDataFrame([], self.schemas[table]).where("false")
         return self.read_staged(table, location)
 
     def read_staged(self, table: str, location: str) -> DataFrame:

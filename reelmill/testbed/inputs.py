@@ -2,169 +2,150 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+# Columns read from each benchmark table.
+COLUMNS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_quantity double",
+    "nation": "n_nationkey int, n_name string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def title_id(key: Column) -> Column:
-    return F.concat(F.lit("tt"), F.lpad(key.cast("string"), 12, "0"))
+def title_id(key: str) -> str:
+    return f"concat('tt', lpad(string({key}), 12, '0'))"
 
 
-def basics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One title row per order, all text."""
-    k = F.col("o_orderkey")
-    film = F.concat(F.lit("Film "), k.cast("string"))
-    segment = F.col("c_mktsegment")
-    joined = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    return joined.select(
-        title_id(k).alias("tconst"),
-        F.when(k % 10 == 3, "short").otherwise("movie").alias("titleType"),
-        film.alias("primaryTitle"),
-        F.when(k % 13 != 0, film).alias("originalTitle"),
-        F.when(k % 17 == 5, "1").otherwise("0").alias("isAdult"),
-        F.when(k % 19 != 4, (1995 + k % 31).cast("string")).alias("startYear"),
-        F.lit(None).cast("string").alias("endYear"),
-        F.when(k % 7 == 2, None)
-        .when(k % 101 == 6, "n/x")
-        .otherwise((60 + k % 120).cast("string"))
-        .alias("runtimeMinutes"),
-        F.when(k % 11 == 7, None)
-        .when(k % 3 == 0, segment)
-        .otherwise(F.concat(segment, F.lit(", "), F.expr("substr(o_orderpriority, 3)")))
-        .alias("genres"),
-    )
-
-
-def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ratings row per order with lines, all text."""
-    tenths = F.sum("l_quantity").cast("bigint") % 91 + 10
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg((tenths.cast("double") / 10).alias("rating"), F.count(F.lit(1)).alias("votes"))
-        .select(
-            title_id(F.col("l_orderkey")).alias("tconst"),
-            F.col("rating").cast("string").alias("averageRating"),
-            F.col("votes").cast("string").alias("numVotes"),
-        )
-    )
+EXTERNAL_ID = f"""CASE c_custkey % 9
+    WHEN 0 THEN NULL
+    WHEN 1 THEN concat('nm', string(c_custkey))
+    WHEN 2 THEN concat('tt9', lpad(string(c_custkey), 12, '0'))
+    ELSE {title_id('c_custkey')} END"""
 
+RELEASE_TEXT = "if(c_custkey % 8 = 0, '', concat('2024-0', string(1 + c_custkey % 9), '-15'))"
 
-def external_id(c: Column) -> Column:
-    text = c.cast("string")
-    return (
-        F.when(c % 9 == 0, None)
-        .when(c % 9 == 1, F.concat(F.lit("nm"), text))
-        .when(c % 9 == 2, F.concat(F.lit("tt9"), F.lpad(text, 12, "0")))
-        .otherwise(title_id(c))
-    )
+GENRE_IDS = """CASE
+    WHEN c_custkey % 6 = 0 THEN NULL
+    WHEN c_custkey % 12 = 1 THEN cast(array() AS array<bigint>)
+    ELSE array(bigint(c_nationkey), bigint(c_nationkey) + 1) END"""
 
 
-def genre_ids(c: Column, nation: Column) -> Column:
-    return (
-        F.when(c % 6 == 0, None)
-        .when(c % 12 == 1, F.array().cast("array<bigint>"))
-        .otherwise(F.array(nation.cast("bigint"), nation.cast("bigint") + 1))
+def basics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One title row per order, all text."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    return orders.join(table(spark, sf_dir, "customer"), "c_custkey").selectExpr(
+        f"{title_id('o_orderkey')} AS tconst",
+        "if(o_orderkey % 10 = 3, 'short', 'movie') AS titleType",
+        "concat('Film ', string(o_orderkey)) AS primaryTitle",
+        "if(o_orderkey % 13 = 0, NULL, concat('Film ', string(o_orderkey))) AS originalTitle",
+        "if(o_orderkey % 17 = 5, '1', '0') AS isAdult",
+        "if(o_orderkey % 19 = 4, NULL, string(1995 + o_orderkey % 31)) AS startYear",
+        "string(NULL) AS endYear",
+        """CASE WHEN o_orderkey % 7 = 2 THEN NULL
+                WHEN o_orderkey % 101 = 6 THEN 'n/x'
+                ELSE string(60 + o_orderkey % 120) END AS runtimeMinutes""",
+        """CASE WHEN o_orderkey % 11 = 7 THEN NULL
+                WHEN o_orderkey % 3 = 0 THEN c_mktsegment
+                ELSE concat(c_mktsegment, ', ', substr(o_orderpriority, 3)) END AS genres""",
     )
 
 
-def release_text(c: Column) -> Column:
-    return F.when(c % 8 == 0, "").otherwise(
-        F.concat(F.lit("2024-0"), (1 + c % 9).cast("string"), F.lit("-15"))
+def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ratings row per order with lines, all text."""
+    lines = table(spark, sf_dir, "lineitem")
+    sums = lines.groupBy("l_orderkey").agg({"l_quantity": "sum", "*": "count"})
+    return sums.selectExpr(
+        f"{title_id('l_orderkey')} AS tconst",
+        "string(double(bigint(`sum(l_quantity)`) % 91 + 10) / 10) AS averageRating",
+        "string(`count(1)`) AS numVotes",
     )
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot history: one row per customer, a second, later one for even keys."""
-    c = F.col("c_custkey")
-    days = F.when(c % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = table(spark, sf_dir, "customer").withColumn("k2", F.explode(days))
-    title = F.concat(F.lit("Now "), c.cast("string"), F.lit(" v"), F.col("k2").cast("string"))
-    return rows.select(
-        c.alias("tmdb_id"),
-        external_id(c).alias("imdb_id"),
-        title.alias("title"),
-        title.alias("original_title"),
-        F.lit("en").alias("original_language"),
-        release_text(c).try_cast("date").alias("release_date"),
-        (c % 1000).cast("double").alias("popularity"),
-        ((c % 100).cast("double") / 10).alias("vote_average"),
-        (c * 3 + F.col("k2")).alias("vote_count"),
-        F.lit(None).cast("string").alias("genre_ids"),
-        F.when(c % 6 != 0, F.col("c_mktsegment")).alias("genre_names"),
-        F.lit(False).alias("adult"),
-        F.concat(F.lit("2024-06-0"), (1 + F.col("k2")).cast("string"))
-        .cast("date")
-        .alias("snapshot_date"),
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "*", "explode(if(c_custkey % 2 = 0, array(0, 1), array(0))) AS k2"
+    )
+    return rows.selectExpr(
+        "c_custkey AS tmdb_id",
+        f"{EXTERNAL_ID} AS imdb_id",
+        "concat('Now ', string(c_custkey), ' v', string(k2)) AS title",
+        "concat('Now ', string(c_custkey), ' v', string(k2)) AS original_title",
+        "'en' AS original_language",
+        f"try_cast({RELEASE_TEXT} AS date) AS release_date",
+        "double(c_custkey % 1000) AS popularity",
+        "double(c_custkey % 100) / 10 AS vote_average",
+        "c_custkey * 3 + k2 AS vote_count",
+        "string(NULL) AS genre_ids",
+        "if(c_custkey % 6 = 0, NULL, c_mktsegment) AS genre_names",
+        "false AS adult",
+        "date(concat('2024-06-0', string(1 + k2))) AS snapshot_date",
     )
 
 
 def listed_films(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Films as a snapshot page lists them, one per customer."""
-    c = F.col("c_custkey")
-    title = F.concat(F.lit("Now "), c.cast("string"))
-    return table(spark, sf_dir, "customer").select(
-        c.alias("id"),
-        title.alias("title"),
-        title.alias("original_title"),
-        F.lit("en").alias("original_language"),
-        release_text(c).alias("release_date"),
-        F.when(c % 10 == 4, "n/a").otherwise((c % 1000).cast("string")).alias("popularity"),
-        ((c % 100).cast("double") / 10).alias("vote_average"),
-        F.when(c % 15 != 7, c * 3).alias("vote_count"),
-        genre_ids(c, F.col("c_nationkey")).alias("genre_ids"),
-        (c % 17 == 5).alias("adult"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "concat('Now ', string(c_custkey)) AS title",
+        "concat('Now ', string(c_custkey)) AS original_title",
+        "'en' AS original_language",
+        f"{RELEASE_TEXT} AS release_date",
+        "if(c_custkey % 10 = 4, 'n/a', string(c_custkey % 1000)) AS popularity",
+        "double(c_custkey % 100) / 10 AS vote_average",
+        "if(c_custkey % 15 = 7, NULL, c_custkey * 3) AS vote_count",
+        f"{GENRE_IDS} AS genre_ids",
+        "c_custkey % 17 = 5 AS adult",
     )
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listed films on pages of up to twenty."""
-    films = listed_films(spark, sf_dir)
-    film = F.struct(*films.columns)
-    return films.groupBy(F.floor(F.col("id") / 20).alias("page")).agg(
-        F.lit(None).cast("bigint").alias("total_pages"), F.collect_list(film).alias("results")
+    films = listed_films(spark, sf_dir).selectExpr("id DIV 20 AS page", "struct(*) AS film")
+    grouped = films.groupBy("page").agg({"film": "collect_list"})
+    return grouped.toDF("page", "results").selectExpr(
+        "page", "bigint(NULL) AS total_pages", "results"
     )
 
 
 def genre_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One genre per nation, some with an empty name."""
-    n = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").select(
-        n.cast("bigint").alias("id"), F.when(n % 4 != 0, F.col("n_name")).otherwise("").alias("name")
+    return table(spark, sf_dir, "nation").selectExpr(
+        "bigint(n_nationkey) AS id", "if(n_nationkey % 4 = 0, '', n_name) AS name"
     )
 
 
 def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        c.alias("tmdb_id"), external_id(c).alias("imdb_id")
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS tmdb_id", f"{EXTERNAL_ID} AS imdb_id"
+    )
+
+
+def null_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, plain, as_pandas): every order key, or one of several NULL spellings."""
+    mark = """CASE o_orderkey % 5
+        WHEN 0 THEN '\\\\N' WHEN 1 THEN '' WHEN 2 THEN 'None' ELSE string(o_orderkey) END"""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", f"{mark} AS plain", f"{mark} AS as_pandas"
     )
 
 
 def messy_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, txt): every order key in one of eight spellings, some of them no number."""
-    k = F.col("o_orderkey")
-    text = k.cast("string")
-    spellings = [
-        text,
-        F.concat(F.lit(" "), text, F.lit(" ")),
-        F.concat(text, F.lit("e1")),
-        F.concat(F.lit("x"), text),
-        F.concat(F.lit("0x"), text),
-        F.concat(F.lit("1_"), text),
-        F.lit(None).cast("string"),
-        F.concat(F.lit("-"), text, F.lit(".0")),
-    ]
-    picked = reduce(
-        lambda rest, item: F.when(k % 8 == item[0], item[1]).otherwise(rest),
-        enumerate(spellings),
-        F.lit(None).cast("string"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k",
+        """CASE o_orderkey % 8
+            WHEN 0 THEN string(o_orderkey)
+            WHEN 1 THEN concat(' ', string(o_orderkey), ' ')
+            WHEN 2 THEN concat(string(o_orderkey), 'e1')
+            WHEN 3 THEN concat('x', string(o_orderkey))
+            WHEN 4 THEN concat('0x', string(o_orderkey))
+            WHEN 5 THEN concat('1_', string(o_orderkey))
+            WHEN 6 THEN NULL
+            ELSE concat('-', string(o_orderkey), '.0') END AS txt""",
     )
-    return table(spark, sf_dir, "orders").select(k.alias("k"), picked.alias("txt"))

@@ -65,6 +65,21 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rm.prepare(rm.training_rows(fact(spark, sf_dir)))
 
 
+def stored_fact(spark: SparkSession, sf_dir: str) -> TableStore:
+    """A store with the fact table written, as the model's several passes read it."""
+    store = new_store(spark)
+    store.full_refresh("fct_movies", fact(spark, sf_dir))
+    return store
+
+
+def stored_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rm.prepare(rm.training_rows(stored_fact(spark, sf_dir).read("fct_movies")))
+
+
+def trained(spark: SparkSession, sf_dir: str) -> rm.ModelRun:
+    return rm.train_and_evaluate(stored_fact(spark, sf_dir).read("fct_movies"), CHECK_FOREST)
+
+
 def stand_in() -> Column:
     """A fixed formula in place of a trained model, so that results can be checked."""
     return 5.0 + (F.col("startYear") % 7) / 4.0 - (F.col("numVotes") % 3) / 8.0
@@ -100,14 +115,7 @@ def scan_tsv_ratings(spark, sf_dir):
 
 @query
 def null_tokens(spark, sf_dir):
-    k = F.col("o_orderkey")
-    token = (
-        F.when(k % 5 == 0, "\\N").when(k % 5 == 1, "").when(k % 5 == 2, "None")
-        .otherwise(k.cast("string"))
-    )
-    raw = inputs.table(spark, sf_dir, "orders").select(
-        k.alias("k"), token.alias("plain"), token.alias("as_pandas")
-    )
+    raw = inputs.null_marks(spark, sf_dir)
     plain = casts.normalize_nulls(raw, columns=["plain"])
     return casts.normalize_nulls(plain, casts.null_tokens(pandas_na=True), columns=["as_pandas"])
 
@@ -135,8 +143,7 @@ def external_id_lookup(spark, sf_dir):
 
 @query
 def scan_fct_projection(spark, sf_dir):
-    store = new_store(spark)
-    store.full_refresh("fct_movies", fact(spark, sf_dir))
+    store = stored_fact(spark, sf_dir)
     store.create_views()
     return rm.training_rows(spark.table("fct_movies"))
 
@@ -393,7 +400,7 @@ def max_year(spark, sf_dir):
 
 @query
 def feature_medians(spark, sf_dir):
-    figures = prepared(spark, sf_dir).select(*rm.NUMERIC_FEATURES)
+    figures = stored_prepared(spark, sf_dir).select(*rm.NUMERIC_FEATURES)
     medians = statistics.exact_medians(figures, rm.NUMERIC_FEATURES)
     return spark.createDataFrame([medians], "startYear double, runtimeMinutes double, numVotes double")
 
@@ -415,13 +422,13 @@ def era_onehot(spark, sf_dir):
 
 @query
 def genre_onehot(spark, sf_dir):
-    rows = prepared(spark, sf_dir)
+    rows = stored_prepared(spark, sf_dir)
     return rows.select("tconst", *encode.genre_flags(encode.genre_vocabulary(rows)))
 
 
 @query
 def ml_features(spark, sf_dir):
-    rows = prepared(spark, sf_dir)
+    rows = stored_prepared(spark, sf_dir)
     return rm.feature_matrix(rows, rm.fit_features(rows), "tconst")
 
 
@@ -442,18 +449,16 @@ def genre_rating_trends(spark, sf_dir):
 
 @query
 def rf_predictions(spark, sf_dir):
-    return rm.train_and_evaluate(fact(spark, sf_dir), CHECK_FOREST).predictions
+    return trained(spark, sf_dir).predictions
 
 
 @query
 def prediction_sample(spark, sf_dir):
-    run = rm.train_and_evaluate(fact(spark, sf_dir), CHECK_FOREST)
-    return rm.prediction_sample(run.predictions)
+    return rm.prediction_sample(trained(spark, sf_dir).predictions)
 
 
 def published_model(spark: SparkSession, sf_dir: str) -> TableStore:
-    store = new_store(spark)
-    store.full_refresh("fct_movies", fact(spark, sf_dir))
+    store = stored_fact(spark, sf_dir)
     jobs.train_and_publish(store, CHECK_FOREST)
     return store
 
