@@ -12,23 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reelmill.session import input_bytes
+
 CHECK_BYTES = 1 << 30       # inputs smaller than this are never checked
 HOT_ROWS = 1_000_000        # a key with fewer rows does not trouble one task
 SUPPORT = 0.001             # share of rows that makes a candidate; at most 1/SUPPORT keys
 
 
-def input_bytes(df: DataFrame) -> float:
-    """Size of what the plan reads; infinite where the session does not expose it.
-
-    Leaves are summed because Catalyst estimates a join as the product of its sides.
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    except AttributeError:
-        return float("inf")
-    return sum(float(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
 def hot_keys(
     df: DataFrame, key: str, hot_rows: int = HOT_ROWS, support: float = SUPPORT
 ) -> list:

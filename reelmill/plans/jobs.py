@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from reelmill.functions.casts import null_tokens
 from reelmill.plans import clean, marts, ratings_model, upsert
 from reelmill.plans.ratings_model import ForestParams, ModelRun
-from reelmill.session import cut_lineage
+from reelmill.session import written_once
 from reelmill.sources import schemas
 from reelmill.sources.files import scan_external_ids, scan_genre_dim, scan_pages, scan_tsv
 from reelmill.sources.store import TableStore
@@ -77,10 +77,10 @@ def stage_upserts(
 ) -> dict[str, str]:
     """Write both merged tables, unpublished.
 
-    The newest-per-film rows feed both merges several times, so they are computed
-    once and kept on reliable storage.
+    The newest-per-film rows feed both merges several times, so they are written once
+    to the scratch area.
     """
-    latest = cut_lineage(upsert.latest_titled(snapshots))
+    latest = written_once(upsert.latest_titled(snapshots))
     return {
         BASICS_TABLE: store.stage(BASICS_TABLE, upsert.merge_basics(basics, latest, on_duplicate)),
         RATINGS_TABLE: store.stage(
@@ -126,7 +126,7 @@ def build_marts(store: TableStore) -> None:
     exploded = store.stage(
         "genre_exploded", marts.genre_exploded(store.read_staged("fct_movies", fct))
     )
-    partials = cut_lineage(marts.genre_partials(store.read_staged("genre_exploded", exploded)))
+    partials = written_once(marts.genre_partials(store.read_staged("genre_exploded", exploded)))
     store.publish(
         {
             "fct_movies": fct,

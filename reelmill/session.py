@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+PARTITION_BYTES = 128 << 20     # aimed size of one shuffle partition
+EXPANSION = 3                   # shuffled bytes per stored byte
+UNKNOWN_BYTES = 1 << 60         # estimates above this are Spark's "unknown"
 
 
 def build_session(app: str = "reelmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,9 +49,47 @@ def scratch_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` on reliable storage, for results read several times."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+def input_bytes(df: DataFrame) -> float:
+    """Size of what the plan reads; infinite where the session does not tell.
+
+    Leaves are summed because Catalyst estimates a join as the product of its sides.
+    """
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    except AttributeError:
+        return float("inf")
+    total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return float(total) if total < UNKNOWN_BYTES else float("inf")
+
+
+@contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[None]:
+    """Start shuffles with enough partitions for the input while ``df`` runs.
+
+    AQE merges partitions that turn out small but never adds any, so the number it
+    starts from has to grow with the data; the session's setting stays the floor.
+    """
+    conf = df.sparkSession.conf
+    floor = int(conf.get("spark.sql.shuffle.partitions"))
+    wanted = input_bytes(df) * EXPANSION / PARTITION_BYTES
+    before = conf.get(INITIAL_PARTITIONS, None)
+    if before is not None or not floor < wanted < float("inf"):
+        yield
+        return
+    conf.set(INITIAL_PARTITIONS, str(ceil(wanted)))
+    try:
+        yield
+    finally:
+        conf.unset(INITIAL_PARTITIONS)
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` written to the scratch area and read back, for results read several times.
+
+    Unlike a checkpoint the files prune columns and tell their size, so a small
+    result is still broadcast and a large one is not.
+    """
+    location = f"{scratch_root(df.sparkSession)}/rows"
+    with sized_shuffles(df):
+        df.write.parquet(location)
+    return df.sparkSession.read.schema(df.schema).parquet(location)

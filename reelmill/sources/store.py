@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reelmill.operators.keys import require_not_null
+from reelmill.session import sized_shuffles
 from reelmill.sources.schemas import TABLES
 
 
@@ -56,7 +57,9 @@ class TableStore:
     def stage(self, table: str, df: DataFrame) -> str:
         """Write the rows as a new version that no reader sees yet."""
         location = f"{self.root}/{table}/{uuid.uuid4().hex}"
-        conform(df, self.schemas[table]).write.mode("errorifexists").parquet(location)
+        rows = conform(df, self.schemas[table])
+        with sized_shuffles(rows):
+            rows.write.mode("errorifexists").parquet(location)
         return location
 
     def publish(self, staged: dict[str, str]) -> None:

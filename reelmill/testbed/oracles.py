@@ -305,6 +305,10 @@ CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
     "genre_summary_from_partials": (("exploded",), f"""
         SELECT genre, {_GENRE_METRICS} FROM exploded
         WHERE average_rating IS NOT NULL GROUP BY genre"""),
+    "mart_tables": (("exploded",), f"""
+        SELECT genre, {_GENRE_METRICS} FROM exploded
+        WHERE average_rating IS NOT NULL GROUP BY genre"""),
+    "staging_views": (("fct",), "SELECT * FROM fct"),
     "max_year": (("prepared",), "SELECT coalesce(max(startYear), 2035) AS max_year FROM prepared"),
     "feature_medians": (("prepared",), """
         SELECT CAST(median(startYear) AS DOUBLE) AS startYear,

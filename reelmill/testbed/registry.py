@@ -390,6 +390,35 @@ def genre_summary_from_partials(spark, sf_dir):
     return steady_means(marts.summary_from_partials(partials), "num_movies", "avg_rating")
 
 
+def built_marts(spark: SparkSession, sf_dir: str) -> TableStore:
+    store = new_store(spark)
+    store.full_refresh("imdb_title_basics", clean_basics(spark, sf_dir))
+    store.full_refresh("imdb_title_ratings", clean_ratings(spark, sf_dir))
+    jobs.build_marts(store)
+    return store
+
+
+@query
+def mart_tables(spark, sf_dir):
+    """The genre summary as the mart job publishes it, read by table name."""
+    built_marts(spark, sf_dir).create_views()
+    return steady_means(spark.table("genre_summary"), "num_movies", "avg_rating")
+
+
+@query
+def staging_views(spark, sf_dir):
+    """The fact table as SQL over the staging views."""
+    store = new_store(spark)
+    store.full_refresh("imdb_title_basics", clean_basics(spark, sf_dir))
+    store.full_refresh("imdb_title_ratings", clean_ratings(spark, sf_dir))
+    jobs.create_staging_views(store)
+    return spark.sql(
+        """SELECT b.*, r.average_rating, r.num_votes
+           FROM stg_imdb_title_basics b
+           LEFT JOIN stg_imdb_title_ratings r ON b.tconst = r.tconst"""
+    )
+
+
 # Model
 
 

@@ -1,0 +1,63 @@
+import math
+import statistics as plain
+
+from hypothesis import given, settings, strategies as st
+
+from reelmill.operators import statistics
+
+
+def medians(spark, values, **options):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    return statistics.exact_medians(df, ["v"], **options)["v"]
+
+
+def test_even_odd_and_empty(spark):
+    assert medians(spark, [1.0, 2.0, 3.0, 4.0]) == 2.5
+    assert medians(spark, [5.0, 1.0, None, 3.0]) == 3.0
+    assert medians(spark, [None, None]) is None
+    assert medians(spark, [7.0] * 9) == 7.0
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    values=st.lists(
+        st.floats(-1e12, 1e12, allow_subnormal=False) | st.sampled_from([0.0, 3.0]),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_matches_plain_median_with_few_buckets(spark, values):
+    assert math.isclose(
+        medians(spark, values, buckets=8), plain.median(values), rel_tol=1e-12, abs_tol=1e-12
+    )
+
+
+def test_heavy_value_and_wide_range(spark):
+    df = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 5, id * id * 1000) AS a", "id % 17 AS b", "cast(NULL AS bigint) AS c"
+    )
+    got = statistics.exact_medians(df, ["a", "b", "c"])
+    expected = df.selectExpr("median(a) a", "median(b) b").first()
+    assert (got["a"], got["b"], got["c"]) == (expected["a"], expected["b"], None)
+
+
+def test_metrics(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (4.0, 3.0), (None, 1.0)], "y double, p double")
+    row = statistics.regression_metrics(df, "y", "p").first()
+    assert row["n_rows"] == 3
+    assert math.isclose(row["rmse"], math.sqrt(2 / 3))
+    assert math.isclose(row["mae"], 2 / 3)
+    assert math.isclose(row["r2"], 1 - 2 / (14 / 3))
+
+
+def test_metrics_of_constant_labels(spark):
+    exact = spark.createDataFrame([(1.0, 1.0), (1.0, 1.0)], "y double, p double")
+    off = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y double, p double")
+    assert statistics.regression_metrics(exact, "y", "p").first()["r2"] == 1.0
+    assert statistics.regression_metrics(off, "y", "p").first()["r2"] == 0.0
+
+
+def test_max_year(spark):
+    df = spark.createDataFrame([(2001,), (None,)], "startYear bigint")
+    assert statistics.max_year(df).first()["max_year"] == 2001
+    assert statistics.max_year(df.where("startYear is null")).first()["max_year"] == 2035
