@@ -340,6 +340,24 @@ CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT *, unnest(string_split(genres, ',')) AS genre FROM scored
               WHERE startYear >= 2020)
         GROUP BY startYear, genre"""),
+    "rf_predictions": (("scored",), """
+        SELECT tconst, primaryTitle, startYear, genres, numVotes, averageRating,
+               true AS hasActualRating, true AS in_range
+        FROM scored WHERE startYear >= 2020"""),
+    "prediction_sample": (("scored",), """
+        SELECT primaryTitle, startYear, genres, averageRating,
+               true AS hasActualRating, true AS in_range
+        FROM scored WHERE startYear >= 2020 ORDER BY tconst LIMIT 20"""),
+    "publish_predictions": (("scored",), """
+        SELECT tconst, primaryTitle, startYear, genres, numVotes, averageRating,
+               true AS in_range
+        FROM scored WHERE startYear >= 2020"""),
+    "publish_trends": (("scored",), """
+        SELECT startYear AS year, genre, round(sum(averageRating), 3) / count(*) AS averageRating,
+               count(tconst) AS movieCount, true AS in_range
+        FROM (SELECT *, unnest(string_split(genres, ',')) AS genre FROM scored
+              WHERE startYear >= 2020)
+        GROUP BY startYear, genre"""),
     "daily_run": (("basics", "ratings", "listed", "names_text", "crosswalk"), """
         , day_src AS (
             SELECT c.imdb_id AS tconst,

@@ -476,14 +476,27 @@ def genre_rating_trends(spark, sf_dir):
     )
 
 
+def in_range(predictions: DataFrame) -> DataFrame:
+    """Predictions as a test whether they lie between the possible ratings."""
+    inside = F.col("predictedRating").between(1.0 - 1e-9, 10.0 + 1e-9)
+    return predictions.withColumn("in_range", inside).drop("predictedRating")
+
+
 @query
 def rf_predictions(spark, sf_dir):
-    return trained(spark, sf_dir).predictions
+    return in_range(trained(spark, sf_dir).predictions)
+
+
+@query
+def rf_metrics(spark, sf_dir):
+    """Evaluation of the trained forest, which has no SQL equivalent."""
+    metrics = trained(spark, sf_dir).metrics
+    return spark.createDataFrame([metrics], "n_rows bigint, rmse double, mae double, r2 double")
 
 
 @query
 def prediction_sample(spark, sf_dir):
-    return rm.prediction_sample(trained(spark, sf_dir).predictions)
+    return in_range(rm.prediction_sample(trained(spark, sf_dir).predictions))
 
 
 def published_model(spark: SparkSession, sf_dir: str) -> TableStore:
@@ -494,12 +507,13 @@ def published_model(spark: SparkSession, sf_dir: str) -> TableStore:
 
 @query
 def publish_predictions(spark, sf_dir):
-    return published_model(spark, sf_dir).read("imdb_rating_predictions")
+    return in_range(published_model(spark, sf_dir).read("imdb_rating_predictions"))
 
 
 @query
 def publish_trends(spark, sf_dir):
-    return published_model(spark, sf_dir).read("imdb_genre_rating_trends")
+    trends = published_model(spark, sf_dir).read("imdb_genre_rating_trends")
+    return in_range(steady_means(trends, "movieCount", "averageRating"))
 
 
 # The whole day
