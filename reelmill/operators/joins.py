@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reelmill.session import input_bytes
+from reelmill.session import fits_broadcast, input_bytes
 
 CHECK_BYTES = 1 << 30       # inputs smaller than this are never checked
 HOT_ROWS = 1_000_000        # a key with fewer rows does not trouble one task
@@ -46,10 +46,11 @@ def left_join(
     """``left`` left-joined to ``right`` on ``key``, all rows of both multiplicities.
 
     ``right_unique`` states that the right side has one row per key, as after an
-    aggregation by it.
+    aggregation by it. A right side that Spark broadcasts needs no care: nothing is
+    shuffled then.
     """
     watched = left if right_unique else right
-    if input_bytes(watched) < check_bytes:
+    if input_bytes(watched) < check_bytes or fits_broadcast(right):
         return left.join(right, key, "left")
     hot = hot_keys(watched, key, hot_rows)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)

@@ -62,6 +62,16 @@ def input_bytes(df: DataFrame) -> float:
     return float(total) if total < UNKNOWN_BYTES else float("inf")
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size rule broadcasts this side of a join."""
+    try:
+        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except AttributeError:
+        return False
+    return int(str(size)) <= int(limit)
+
+
 @contextmanager
 def sized_shuffles(df: DataFrame) -> Iterator[None]:
     """Start shuffles with enough partitions for the input while ``df`` runs.

@@ -46,8 +46,8 @@ def follow_pages(
             scan_external_ids(store.spark, landed.external_ids),
             run_date(),
         )
-        if store.full_refresh(jobs.NOW_PLAYING_TABLE, films, skip_if_empty=True):
-            jobs.upsert_titles(store, on_duplicate)
+        store.full_refresh(jobs.NOW_PLAYING_TABLE, films, skip_if_empty=True)
+        jobs.upsert_titles(store, on_duplicate)
 
     return (
         pages.writeStream.foreachBatch(apply)

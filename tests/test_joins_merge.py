@@ -10,6 +10,15 @@ from reelmill.operators.merge import merge_upsert
 DAY = datetime.date(2024, 6, 1)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
 def skewed(spark, name):
     """A third of the rows on one key, some without a key, the rest spread."""
     return spark.range(300).select(
@@ -28,23 +37,25 @@ def test_hot_keys_are_found(spark):
 
 
 @pytest.mark.parametrize("hot_rows", [2, 50, 500])
-def test_left_join_with_hot_right_key(spark, hot_rows):
-    left = skewed(spark, "l").where("l < 90").unionByName(
-        spark.createDataFrame([("alone", 1000)], "key string, l bigint")
-    )
+def test_left_join_with_hot_right_key(spark, no_broadcast, hot_rows):
+    alone = spark.range(1).selectExpr("'alone' AS key", "id AS l")
+    left = skewed(spark, "l").where("l < 90 OR key IS NULL")
+    left = left.join(alone, ["key", "l"], "full_outer")
     right = skewed(spark, "r").where("r % 2 = 0")
     routed = joins.left_join(left, right, "key", check_bytes=0, hot_rows=hot_rows)
+    assert ("Union" in plan_text(routed)) == (hot_rows <= 50)
     assert rows(routed) == rows(left.join(right, "key", "left"))
 
 
 @pytest.mark.parametrize("hot_rows", [50, 500])
-def test_left_join_with_hot_left_key(spark, hot_rows):
+def test_left_join_with_hot_left_key(spark, no_broadcast, hot_rows):
     left = skewed(spark, "l")
     right = skewed(spark, "r").groupBy("key").agg(F.max("r").alias("r"))
     routed = joins.left_join(
         left, right, "key", right_unique=True, check_bytes=0, hot_rows=hot_rows
     )
     assert routed.count() == 300
+    assert "Union" in plan_text(routed)
     assert rows(routed) == rows(left.join(right, "key", "left"))
 
 
@@ -94,6 +105,17 @@ def test_merge_updates_inserts_and_keeps(spark):
         )
 
 
+def test_merge_with_hot_target_key(spark, no_broadcast):
+    source = [("tt2", None, 5, DAY), ("tt9", "Nine", None, DAY)]
+    plain = rows(merge(spark, source))
+    routed = merge(spark, source, check_bytes=0, hot_rows=2)
+    assert rows(routed) == plain and len(plain) == 5
+
+
+def test_external_ids_of_a_large_snapshot(spark, no_broadcast):
+    test_external_ids_one_row_per_film(spark)
+
+
 def test_merge_of_nothing(spark):
     assert rows(merge(spark, [])) == rows(target(spark))
 
