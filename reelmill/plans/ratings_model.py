@@ -15,6 +15,7 @@ from reelmill.functions.eras import NO_YEAR_FALLBACK, era_flags, era_label
 from reelmill.functions.genres import UNKNOWN, genre_tokens
 from reelmill.operators.encode import genre_flags, genre_vocabulary
 from reelmill.operators.statistics import column_ranges, exact_medians, regression_metrics
+from reelmill.session import input_bytes
 from reelmill.sources.schemas import PREDICTIONS
 
 # Year spans of the split (both ends inclusive).
@@ -22,6 +23,8 @@ TRAIN_YEARS = (2000, 2020)
 TEST_YEARS = (2021, 2024)
 APPLY_FROM = 2020
 
+SPREAD_BELOW = 1 << 30      # stored size from which a table is left in its own partitions
+
 NUMERIC_FEATURES = ("startYear", "runtimeMinutes", "numVotes")
 
 _RENAMES = {
@@ -139,8 +142,8 @@ def feature_columns(spec: FeatureSpec) -> list[Column]:
         value = F.col(name).cast("double")
         median = spec.medians.get(name)
         filled.append((value if median is None else F.coalesce(value, F.lit(median))).alias(name))
-    era = era_label(F.col("startYear"), spec.max_year)
-    return [*filled, *genre_flags(spec.genres), *era_flags(era, spec.max_year)]
+    eras = era_flags(F.col("startYear"), spec.max_year)
+    return [*filled, *genre_flags(spec.genres), *eras]
 
 
 def feature_matrix(prepared: DataFrame, spec: FeatureSpec, *keep: str) -> DataFrame:
@@ -154,6 +157,19 @@ def assemble(prepared: DataFrame, spec: FeatureSpec) -> DataFrame:
     return prepared.withColumn("features", array_to_vector(F.array(*values)))
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """A small training set over all cores, in an order that does not depend on files.
+
+    Trees are grown one task per partition, so a table of few small files would use few
+    cores. A large table has partitions enough and is left as it is.
+    """
+    if input_bytes(train) >= SPREAD_BELOW:
+        return train
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    needed = train.select("tconst", "features", "averageRating")
+    return needed.repartition(cores, "tconst").sortWithinPartitions("tconst", "averageRating")
+
+
 def fit_forest(train: DataFrame, params: ForestParams = ForestParams()) -> Model:
     """Random forest over all features at every split, bootstrap rows per tree."""
     return RandomForestRegressor(
@@ -167,7 +183,7 @@ def fit_forest(train: DataFrame, params: ForestParams = ForestParams()) -> Model
         featureSubsetStrategy="all",
         minInstancesPerNode=1,
         maxMemoryInMB=params.memory_mb,
-    ).fit(train)
+    ).fit(spread(train))
 
 
 def train_and_evaluate(

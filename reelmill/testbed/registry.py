@@ -445,8 +445,7 @@ def era_bucket(spark, sf_dir):
 def era_onehot(spark, sf_dir):
     rows = prepared(spark, sf_dir)
     latest_year = statistics.max_year(rows).first()["max_year"]
-    flags = eras.era_flags(F.col("era"), latest_year)
-    return rm.with_era(rows, latest_year).select("tconst", *flags)
+    return rows.select("tconst", *eras.era_flags(F.col("startYear"), latest_year))
 
 
 @query
