@@ -3,3 +3,45 @@
 from __future__ import annotations
 
 CHECKS: dict[str, str] = {}
+
+CHECKS["op2_decontaminate"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+starts AS (
+  SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS k
+  FROM item_words WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+         array_to_string(w[k : k + 9], ' ') AS phrase
+  FROM starts),
+sizes AS (SELECT DISTINCT size FROM windows),
+doc_starts AS (
+  SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS k
+  FROM doc_words, sizes WHERE len(w) >= size),
+hits AS (
+  SELECT d.doc_id, d.k, d.size, v.item_id
+  FROM (SELECT doc_id, k, size, array_to_string(w[k : k + size - 1], ' ') AS phrase
+        FROM doc_starts) d
+  JOIN windows v ON v.phrase = d.phrase AND v.size = d.size),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit_words h ON h.doc_id = d.doc_id
+LEFT JOIN hit_items i ON i.doc_id = d.doc_id
+"""

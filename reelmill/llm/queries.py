@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelmill.llm import bpe
+from reelmill.llm import bpe, decontaminate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +42,18 @@ def op4_byte_bpe(spark, sf_dir):
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op2_decontaminate(spark, sf_dir):
+    """Benchmark windows in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
