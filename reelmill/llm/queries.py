@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelmill.llm import bpe, decontaminate
+from reelmill.llm import bpe, chosen_path, decontaminate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +57,9 @@ def op2_decontaminate(spark, sf_dir):
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op3_chosen_path(spark, sf_dir):
+    """Near-duplicate classes of all documents."""
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
