@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelmill.llm import bpe, chosen_path, decontaminate
+from reelmill.llm import bpe, chosen_path, decontaminate, line_rules, quality, secret_scan, toxicity
+from reelmill.llm.indicators import in_hash_part
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +64,54 @@ def op2_decontaminate(spark, sf_dir):
 def op3_chosen_path(spark, sf_dir):
     """Near-duplicate classes of all documents."""
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_nbsvm_quality(spark, sf_dir):
+    """Quality score of every document; a fifth of the ids never gives labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = in_hash_part("doc_id", 5)
+    model = quality.train(docs, table(spark, sf_dir, "labels").where(part != 0))
+    return quality.score(docs, model).select(
+        "doc_id",
+        (part == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+CHAIN = ("junk", "toxic")
+
+
+@query
+def op1_toxicity_chain(spark, sf_dir):
+    """Category probabilities of every document, and whether it is rejected as toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = toxicity.chain_labels(table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, toxicity.train(docs, labels, CHAIN), CHAIN)
+    return scored.select("doc_id", "p_junk", "p_toxic", (F.col("p_toxic") >= toxicity.REJECT).alias("toxic"))
+
+
+@query
+def op8_entropy_secrets(spark, sf_dir):
+    """Base findings and entropy findings in every document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda f: f["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("found")).alias("spans"),
+    )
+
+
+@query
+def op9_line_rules(spark, sf_dir):
+    """Line measures and the verdict on every document."""
+    judged = line_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
