@@ -115,10 +115,7 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[pa.Rec
 
 
 def confirm(members: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` found in groups ``(cluster, item, side, label)`` on full sets.
-
-    Only the texts of ``contents (item, text)`` that some group asks for are sent.
-    """
+    """Links ``(a, b)`` found in groups ``(cluster, item, side, label)`` on full sets."""
     kind = members.schema["item"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
     arrow = to_arrow_schema(schema)
@@ -261,6 +258,15 @@ def block_groups(tight: DataFrame, space: Scratch) -> DataFrame:
     return items.join(asked, ["node", "family", "bin"]).select("cluster", "item", "side", "label")
 
 
+def texts_of(needed: DataFrame, texts: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of ``texts`` whose key is in ``needed``.
+
+    The texts are shuffled once and hashed against their keys, the same at every size: no
+    side is broadcast, and the texts are not sorted.
+    """
+    return texts.join(needed.hint("shuffle_hash"), on)
+
+
 def settle(
     leaves: DataFrame,
     tight: DataFrame,
@@ -272,9 +278,13 @@ def settle(
     """Classes ``(item, component)`` of all items linked within the given nodes.
 
     ``leaves`` (node, item, sketch) hold at most ``LEAF`` items each, ``tight`` (node, item)
-    any number. Items without a link are left out.
+    any number. Of ``contents (item, text)`` only the items that some group asks for are
+    kept, once for all comparisons. Items without a link are left out.
     """
-    small = sift(leaves, agreement).select("cluster", "item", F.lit(0).alias("side"), F.col("item").alias("label"))
+    groups = space.store(sift(leaves, agreement), "groups")
+    needed = groups.select("item").union(tight.select("item")).distinct()
+    contents = space.store(texts_of(needed, contents, ["item"]), "contents")
+    small = groups.select("cluster", "item", F.lit(0).alias("side"), F.col("item").alias("label"))
     first = space.store(confirm(small.union(pivot_groups(tight)), contents, percent), "links")
     classes = components(first, space, "classes")
     if tight.isEmpty():
