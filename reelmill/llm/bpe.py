@@ -136,14 +136,15 @@ def with_column(schema: T.StructType, name: str, kind: T.DataType) -> T.StructTy
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of ``text`` as an array column (it replaces one so named)."""
     shared = df.sparkSession.sparkContext.broadcast(
-        (vocabulary, serialised_model(vocabulary.tokens))
+        (vocabulary.tokens, vocabulary.pattern, serialised_model(vocabulary.tokens))
     )
     schema = with_column(df.schema, ids, T.ArrayType(T.IntegerType(), False))
     kept = schema.names[:-1]
     arrow = to_arrow_schema(schema)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value)
+        tokens, pattern, model = shared.value
+        encoder = Encoder(Vocabulary(tokens, pattern), model)
         for batch in batches:
             texts = [value or "" for value in batch.column(text).to_pylist()]
             flat = [np.array(row, dtype=np.int32) for row in encoder.encode_all(texts)]

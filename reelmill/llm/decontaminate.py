@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from itertools import repeat
 
 import numpy as np
@@ -181,7 +181,7 @@ def marked_shard(texts: list[bytes], earlier: list[tuple], block: Block) -> list
 
 def search_block(df: DataFrame, block: Block, text: str) -> DataFrame:
     """``df`` (with or without earlier results) after searching one block of windows."""
-    shared = df.sparkSession.sparkContext.broadcast(block)
+    shared = df.sparkSession.sparkContext.broadcast(astuple(block))
     again = "hit_words" in df.columns
     kept = [f for f in df.schema.fields if f.name not in RESULTS.names]
     schema = T.StructType([*kept, *RESULTS.fields])
@@ -198,7 +198,7 @@ def search_block(df: DataFrame, block: Block, text: str) -> DataFrame:
             yield slice(start, len(texts))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = shared.value
+        windows = Block(*shared.value)
         for batch in batches:
             texts = text_bytes(batch.column(text))
             if again:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from reelmill.llm.licence_scan import ABOUT, RULES, SENTENCES, UNKNOWN
+
 CHECKS: dict[str, str] = {}
 
 CHECKS["op2_decontaminate"] = r"""
@@ -45,3 +47,55 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
 FROM doc_words d LEFT JOIN hit_words h ON h.doc_id = d.doc_id
 LEFT JOIN hit_items i ON i.doc_id = d.doc_id
 """
+
+
+def licence_sql() -> str:
+    """The sentence and rule tables as CASE and replace expressions."""
+    ids = "\n".join(
+        f"    WHEN regexp_full_match(s, '{pattern}') THEN '{name}'" for name, pattern in SENTENCES
+    )
+    steps, source = [], "joined"
+    for k, (_, run) in enumerate(RULES):
+        mark = "," + ",,".join(run) + ","
+        steps.append(f"step{k + 1} AS (SELECT *, replace(r{k}, '{mark}', '#') AS r{k + 1} FROM {source})")
+        source = f"step{k + 1}"
+    return rf"""
+WITH cut AS (
+  SELECT doc_id, unnest(string_split(regexp_replace(
+    lower(coalesce(text, '')), '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10))) AS line,
+    generate_subscripts(string_split(regexp_replace(
+    lower(coalesce(text, '')), '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10)), 1) AS n
+  FROM documents),
+about AS (
+  SELECT doc_id, n, trim(regexp_replace(trim(regexp_replace(line, '[^a-z0-9.+-]+', ' ', 'g')),
+                                        '[ .]+$', '')) AS s
+  FROM cut WHERE regexp_matches(line, '{ABOUT}') OR contains(line, 'spdx-')),
+named AS (
+  SELECT doc_id, n, CASE
+{ids}
+    ELSE '{UNKNOWN}' END AS id
+  FROM about),
+joined AS (
+  SELECT d.doc_id, count(id) AS n_sentences, coalesce(string_agg(id, ',' ORDER BY n), '') AS sentence_ids,
+         ',' || coalesce(string_agg(id, ',,' ORDER BY n), '') || ',' AS r0
+  FROM documents d LEFT JOIN named v ON v.doc_id = d.doc_id GROUP BY d.doc_id),
+{", ".join(steps)}
+SELECT doc_id, CAST(n_sentences AS BIGINT) AS n_sentences, sentence_ids,
+       concat_ws(',', {first_marks()}) AS licences
+FROM {source}
+"""
+
+
+def first_marks() -> str:
+    """Each licence at its first matching rule, in the rules' order."""
+    cases, seen = [], {}
+    for k, (licence, run) in enumerate(RULES):
+        mark = "," + ",,".join(run) + ","
+        hit = f"contains(r{k}, '{mark}')"
+        earlier = " OR ".join(seen.get(licence, [])) or "FALSE"
+        cases.append(f"CASE WHEN {hit} AND NOT ({earlier}) THEN '{licence}' END")
+        seen.setdefault(licence, []).append(hit)
+    return ", ".join(cases)
+
+
+CHECKS["op6_licence_rules"] = licence_sql()

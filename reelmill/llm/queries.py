@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelmill.llm import bpe, chosen_path, decontaminate, line_rules, quality, secret_scan, toxicity
+from reelmill.llm import (
+    bpe, chosen_path, decontaminate, licence_scan, line_rules, paragraph_dedup, quality,
+    secret_scan, toxicity, training_order,
+)
 from reelmill.llm.indicators import in_hash_part
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +118,29 @@ def op9_line_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+@query
+def op10_paragraph_dedup(spark, sf_dir):
+    """Paragraphs that repeat across all documents, and which of them are removed."""
+    return paragraph_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_licence_rules(spark, sf_dir):
+    """Licence sentences and licences of every document."""
+    found = licence_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
+@query
+def op7_training_order(spark, sf_dir):
+    """Slot, shard and byte offset of every token sequence of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed, _ = training_order.materialise(docs, default_vocabulary(), key=20_240_602)
+    return placed
