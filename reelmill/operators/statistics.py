@@ -1,4 +1,4 @@
-"""Aggregates: exact medians, regression metrics, maximum year."""
+"""Aggregates: exact medians, regression metrics, latest year."""
 
 from __future__ import annotations
 
@@ -132,7 +132,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def max_year(df: DataFrame, column: str = "startYear") -> DataFrame:
-    """One row: the latest year, or the fallback where no year is known."""
-    latest = F.coalesce(F.max(column).cast("bigint"), F.lit(NO_YEAR_FALLBACK).cast("bigint"))
-    return df.agg(latest.alias("max_year"))
+def latest_year(ranges: dict[str, Range], column: str = "startYear") -> int:
+    """The latest year, or the fallback where no year is known."""
+    latest = ranges[column].high
+    return NO_YEAR_FALLBACK if latest is None else int(latest)

@@ -6,7 +6,8 @@ nothing: readers keep the previous version.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -16,8 +17,10 @@ from reelmill.plans import clean, marts, ratings_model, upsert
 from reelmill.plans.ratings_model import ForestParams, ModelRun
 from reelmill.session import written_once
 from reelmill.sources import schemas
-from reelmill.sources.files import scan_external_ids, scan_genre_dim, scan_pages, scan_tsv
-from reelmill.sources.store import TableStore
+from reelmill.sources.files import (
+    films_of_pages, read_pages, require_all_pages, scan_external_ids, scan_genre_dim, scan_tsv,
+)
+from reelmill.sources.store import TableStore, Version
 
 BASICS_TABLE = "imdb_title_basics"
 RATINGS_TABLE = "imdb_title_ratings"
@@ -35,24 +38,38 @@ class Landed:
     external_ids: str
     multi_line: bool = False
     pandas_na: bool = False
+    quote: str = ""
+    fractions: str = "error"
+    partitions: int | None = None       # of cleaned titles and ratings, for few large files
+
+
+def _spread(df: DataFrame, landed: Landed) -> DataFrame:
+    """Rows of few unsplittable files dealt out, after the cleaning has dropped most."""
+    return df.repartition(landed.partitions) if landed.partitions else df
 
 
 def basics_of(store: TableStore, landed: Landed) -> DataFrame:
-    raw = scan_tsv(store.spark, landed.basics, schemas.TITLE_BASICS_FILE)
-    return clean.basics_clean(raw, null_tokens(landed.pandas_na))
+    raw = scan_tsv(store.spark, landed.basics, schemas.TITLE_BASICS_FILE, landed.quote)
+    cleaned = clean.basics_clean(raw, null_tokens(landed.pandas_na), landed.fractions)
+    return _spread(cleaned, landed)
 
 
 def ratings_of(store: TableStore, landed: Landed) -> DataFrame:
-    raw = scan_tsv(store.spark, landed.ratings, schemas.TITLE_RATINGS_FILE)
-    return clean.ratings_clean(raw, null_tokens(landed.pandas_na))
+    raw = scan_tsv(store.spark, landed.ratings, schemas.TITLE_RATINGS_FILE, landed.quote)
+    cleaned = clean.ratings_clean(raw, null_tokens(landed.pandas_na), landed.fractions)
+    return _spread(cleaned, landed)
 
 
 def now_playing_of(store: TableStore, landed: Landed, run_date: date) -> DataFrame:
+    """The landed snapshot; fails if pages of it are missing."""
+    pages = read_pages(store.spark, landed.pages, landed.multi_line)
+    require_all_pages(pages)
     return clean.now_playing_clean(
-        scan_pages(store.spark, landed.pages, landed.multi_line),
+        films_of_pages(pages),
         scan_genre_dim(store.spark, landed.genres, landed.multi_line),
         scan_external_ids(store.spark, landed.external_ids),
         run_date,
+        landed.fractions,
     )
 
 
@@ -77,42 +94,56 @@ def stage_upserts(
 ) -> dict[str, str]:
     """Write both merged tables, unpublished.
 
-    The newest-per-film rows feed both merges several times, so they are written once
-    to the scratch area.
+    The newest-per-film rows feed both merges, and each merge reads its source twice, so
+    they are written once below the store and deleted at the end.
     """
-    latest = written_once(upsert.latest_titled(snapshots))
-    return {
-        BASICS_TABLE: store.stage(BASICS_TABLE, upsert.merge_basics(basics, latest, on_duplicate)),
-        RATINGS_TABLE: store.stage(
-            RATINGS_TABLE, upsert.merge_ratings(ratings, latest, on_duplicate)
-        ),
-    }
+    with store.scratch() as scratch:
+        latest = written_once(upsert.latest_titled(snapshots), f"{scratch}/latest")
+        new_basics = upsert.merge_basics(basics, latest, on_duplicate, f"{scratch}/basics")
+        new_ratings = upsert.merge_ratings(ratings, latest, on_duplicate, f"{scratch}/ratings")
+        return {
+            BASICS_TABLE: store.stage(BASICS_TABLE, new_basics),
+            RATINGS_TABLE: store.stage(RATINGS_TABLE, new_ratings),
+        }
 
 
 def upsert_titles(store: TableStore, on_duplicate: str = "error") -> None:
-    """Merge the snapshot table into titles and ratings: one commit for both."""
-    store.publish(
-        stage_upserts(
-            store,
-            store.read(BASICS_TABLE),
-            store.read(RATINGS_TABLE),
-            store.read(NOW_PLAYING_TABLE),
-            on_duplicate,
-        )
+    """Merge the snapshot table into titles and ratings: one commit for both.
+
+    Fails, and changes nothing, if one of the three tables is published meanwhile.
+    """
+    base = store.version()
+    staged = stage_upserts(
+        store,
+        store.read(BASICS_TABLE, base),
+        store.read(RATINGS_TABLE, base),
+        store.read(NOW_PLAYING_TABLE, base),
+        on_duplicate,
     )
+    publish_or_discard(store, staged, base, [NOW_PLAYING_TABLE])
+
 
+def publish_or_discard(
+    store: TableStore, staged: dict[str, str], base: Version, reads: Iterable[str] = ()
+) -> None:
+    try:
+        store.publish(staged, base, reads)
+    except Exception:
+        store.discard(*staged.values())
+        raise
 
-def create_staging_views(store: TableStore) -> None:
+
+def create_staging_views(store: TableStore, prefix: str = "") -> None:
     """Temporary staging views over the published raw tables, for SQL by name."""
     staged = staging(store)
-    staged[0].createOrReplaceTempView("stg_imdb_title_basics")
-    staged[1].createOrReplaceTempView("stg_imdb_title_ratings")
+    staged[0].createOrReplaceTempView(f"{prefix}stg_imdb_title_basics")
+    staged[1].createOrReplaceTempView(f"{prefix}stg_imdb_title_ratings")
 
 
-def staging(store: TableStore) -> tuple[DataFrame, DataFrame]:
+def staging(store: TableStore, version: Version | None = None) -> tuple[DataFrame, DataFrame]:
     return (
-        marts.stg_basics(store.read(BASICS_TABLE)),
-        marts.stg_ratings(store.read(RATINGS_TABLE)),
+        marts.stg_basics(store.read(BASICS_TABLE, version)),
+        marts.stg_ratings(store.read(RATINGS_TABLE, version)),
     )
 
 
@@ -120,15 +151,19 @@ def build_marts(store: TableStore) -> None:
     """Fact table and genre marts: one commit for all four.
 
     Each mart reads the one written before it, so the join runs once; both genre
-    marts come from one pass over the exploded rows.
+    marts come from one pass over the exploded rows. The fact table is sorted by year
+    within its files, so that readers of some years skip the rest.
     """
-    fct = store.stage("fct_movies", marts.fct_movies(*staging(store)))
+    base = store.version()
+    facts = marts.fct_movies(*staging(store, base)).sortWithinPartitions("start_year")
+    fct = store.stage("fct_movies", facts)
     exploded = store.stage(
         "genre_exploded", marts.genre_exploded(store.read_staged("fct_movies", fct))
     )
-    partials = written_once(marts.genre_partials(store.read_staged("genre_exploded", exploded)))
-    store.publish(
-        {
+    with store.scratch() as scratch:
+        rows = store.read_staged("genre_exploded", exploded)
+        partials = written_once(marts.genre_partials(rows), f"{scratch}/partials")
+        staged = {
             "fct_movies": fct,
             "genre_exploded": exploded,
             "genre_yearly_metrics": store.stage(
@@ -136,10 +171,12 @@ def build_marts(store: TableStore) -> None:
             ),
             "genre_summary": store.stage("genre_summary", marts.summary_from_partials(partials)),
         }
-    )
+    publish_or_discard(store, staged, base, [BASICS_TABLE, RATINGS_TABLE])
 
 
-def publish_model_results(store: TableStore, run: ModelRun | None) -> bool:
+def publish_model_results(
+    store: TableStore, run: ModelRun | None, base: Version | None = None
+) -> bool:
     """Publish predictions and trends together; without a run nothing changes.
 
     Trends are computed from the written predictions, so rows are scored once.
@@ -150,21 +187,26 @@ def publish_model_results(store: TableStore, run: ModelRun | None) -> bool:
     trends = ratings_model.genre_rating_trends(
         store.read_staged("imdb_rating_predictions", predictions)
     )
-    store.publish(
-        {
-            "imdb_rating_predictions": predictions,
-            "imdb_genre_rating_trends": store.stage("imdb_genre_rating_trends", trends),
-        }
-    )
+    staged = {
+        "imdb_rating_predictions": predictions,
+        "imdb_genre_rating_trends": store.stage("imdb_genre_rating_trends", trends),
+    }
+    publish_or_discard(store, staged, base or store.version(), ["fct_movies"] if base else [])
     return True
 
 
 def train_and_publish(
     store: TableStore, params: ForestParams = ForestParams(), rated_only: bool = True
 ) -> ModelRun | None:
-    run = ratings_model.train_and_evaluate(store.read("fct_movies"), params, rated_only)
-    publish_model_results(store, run)
-    return run
+    """Train, evaluate and publish; the run's predictions are the published ones."""
+    base = store.version()
+    with store.scratch() as scratch:
+        fct = store.read("fct_movies", base)
+        run = ratings_model.train_and_evaluate(fct, scratch, params, rated_only)
+        if not publish_model_results(store, run, base):
+            return None
+    published = ratings_model.with_rated_flag(store.read("imdb_rating_predictions"))
+    return replace(run, predictions=published)
 
 
 def daily_run(
@@ -173,24 +215,31 @@ def daily_run(
     run_date: date,
     params: ForestParams = ForestParams(),
     on_duplicate: str = "error",
+    rated_only: bool = True,
 ) -> ModelRun | None:
     """The whole day. Readers see titles and snapshot change in one step, never the
-    refreshed titles without the upserts."""
-    clean_basics = store.stage(BASICS_TABLE, basics_of(store, landed))
-    clean_ratings = store.stage(RATINGS_TABLE, ratings_of(store, landed))
+    refreshed titles without the upserts. What was staged on the way is deleted."""
+    base = store.version()
     snapshot = store.stage(NOW_PLAYING_TABLE, now_playing_of(store, landed, run_date))
     snapshots = store.read_staged(NOW_PLAYING_TABLE, snapshot)
     fresh = {NOW_PLAYING_TABLE: snapshot}
     if snapshots.isEmpty():
-        snapshots = store.read(NOW_PLAYING_TABLE)
+        store.discard(snapshot)
+        snapshots = store.read(NOW_PLAYING_TABLE, base)
         fresh = {}
-    merged = stage_upserts(
-        store,
-        store.read_staged(BASICS_TABLE, clean_basics),
-        store.read_staged(RATINGS_TABLE, clean_ratings),
-        snapshots,
-        on_duplicate,
-    )
-    store.publish({**fresh, **merged})
+    cleaned = {
+        BASICS_TABLE: store.stage(BASICS_TABLE, basics_of(store, landed)),
+        RATINGS_TABLE: store.stage(RATINGS_TABLE, ratings_of(store, landed)),
+    }
+    try:
+        merged = stage_upserts(
+            store,
+            *[store.read_staged(table, location) for table, location in cleaned.items()],
+            snapshots,
+            on_duplicate,
+        )
+    finally:
+        store.discard(*cleaned.values())
+    publish_or_discard(store, {**fresh, **merged}, base, [NOW_PLAYING_TABLE])
     build_marts(store)
-    return train_and_publish(store, params)
+    return train_and_publish(store, params, rated_only)

@@ -29,9 +29,10 @@ def stg_ratings(ratings: DataFrame) -> DataFrame:
     )
 
 
-def fct_movies(staged_basics: DataFrame, staged_ratings: DataFrame) -> DataFrame:
-    """Every title with its rating, if any."""
-    return left_join(staged_basics, staged_ratings, "tconst").select(*FCT_MOVIES.names)
+def fct_movies(staged_basics: DataFrame, staged_ratings: DataFrame, **route) -> DataFrame:
+    """Every title with its rating, if any; ``route`` as for ``left_join``."""
+    joined = left_join(staged_basics, staged_ratings, "tconst", **route)
+    return joined.select(*FCT_MOVIES.names)
 
 
 def genre_exploded(fct: DataFrame) -> DataFrame:
@@ -41,26 +42,10 @@ def genre_exploded(fct: DataFrame) -> DataFrame:
     )
 
 
-def _metrics() -> list:
-    return [
-        F.count(F.lit(1)).alias("num_movies"),
-        F.avg("average_rating").alias("avg_rating"),
-        F.sum("num_votes").alias("total_votes"),
-    ]
-
-
 def _rated(exploded: DataFrame) -> DataFrame:
     return exploded.where(F.col("average_rating").isNotNull())
 
 
-def genre_summary(exploded: DataFrame) -> DataFrame:
-    return _rated(exploded).groupBy("genre").agg(*_metrics())
-
-
-def genre_yearly_metrics(exploded: DataFrame) -> DataFrame:
-    return _rated(exploded).groupBy("start_year", "genre").agg(*_metrics())
-
-
 def genre_partials(exploded: DataFrame) -> DataFrame:
     """Counts and sums by year and genre, from which both genre marts follow."""
     return _rated(exploded).groupBy("start_year", "genre").agg(

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reelmill.functions.casts import numeric
-from reelmill.functions.eras import NO_YEAR_FALLBACK, era_flags, era_label
+from reelmill.functions.eras import era_flags, era_label
 from reelmill.functions.genres import UNKNOWN, genre_tokens
-from reelmill.operators.encode import genre_flags, genre_vocabulary
-from reelmill.operators.statistics import column_ranges, exact_medians, regression_metrics
-from reelmill.session import input_bytes
+from reelmill.operators.encode import genre_flags, genre_index, genre_places
+from reelmill.operators.joins import left_join
+from reelmill.operators.statistics import (
+    column_ranges, exact_medians, latest_year, regression_metrics,
+)
+from reelmill.session import written_once
 from reelmill.sources.schemas import PREDICTIONS
 
 # Year spans of the split (both ends inclusive).
@@ -23,8 +26,6 @@ TRAIN_YEARS = (2000, 2020)
 TEST_YEARS = (2021, 2024)
 APPLY_FROM = 2020
 
-SPREAD_BELOW = 1 << 30      # stored size from which a table is left in its own partitions
-
 NUMERIC_FEATURES = ("startYear", "runtimeMinutes", "numVotes")
 
 _RENAMES = {
@@ -37,22 +38,26 @@ _RENAMES = {
 
 @dataclass(frozen=True)
 class ForestParams:
-    """Forest settings. MLlib bins features and bounds depth, so depth and bins are
-    the memory knobs: raise them with executor memory."""
+    """Forest settings. MLlib bins features and bounds depth (30 is its end), so depth and
+    bins are the memory knobs: raise them with executor memory.
+
+    ``partitions`` is part of the model: rows are dealt to so many partitions by title
+    id, and bootstrap samples are drawn in each. It is the same at every size.
+    """
 
     trees: int = 200
     depth: int = 10
     bins: int = 64
     seed: int = 42
     memory_mb: int = 256
+    partitions: int = 8
 
 
 @dataclass(frozen=True)
 class FeatureSpec:
-    """What the feature matrix learns from the whole table."""
+    """What the features learn from the whole table."""
 
     max_year: int
-    genres: tuple[str, ...]
     medians: dict[str, float | None] = field(default_factory=dict)
 
 
@@ -121,53 +126,66 @@ def with_era(prepared: DataFrame, latest_year: int) -> DataFrame:
 
 
 def fit_features(prepared: DataFrame) -> FeatureSpec:
-    """Latest year, genre vocabulary and medians of all rows."""
+    """Latest year and medians of all rows."""
     figures = prepared.select(*NUMERIC_FEATURES)
     ranges = column_ranges(figures, NUMERIC_FEATURES)
-    latest = ranges["startYear"].high
-    return FeatureSpec(
-        max_year=NO_YEAR_FALLBACK if latest is None else int(latest),
-        genres=tuple(genre_vocabulary(prepared)),
-        medians=exact_medians(figures, NUMERIC_FEATURES, ranges),
-    )
-
+    return FeatureSpec(latest_year(ranges), exact_medians(figures, NUMERIC_FEATURES, ranges))
 
-def feature_columns(spec: FeatureSpec) -> list[Column]:
-    """Numeric features with medians for gaps, genre flags, era flags.
 
-    All come from the row itself plus literals, so building the matrix is narrow.
-    """
+def dense_columns(spec: FeatureSpec) -> list[Column]:
+    """Numeric features with medians for gaps, then era flags."""
     filled = []
     for name in NUMERIC_FEATURES:
         value = F.col(name).cast("double")
         median = spec.medians.get(name)
         filled.append((value if median is None else F.coalesce(value, F.lit(median))).alias(name))
-    eras = era_flags(F.col("startYear"), spec.max_year)
-    return [*filled, *genre_flags(spec.genres), *eras]
+    return [*filled, *era_flags(F.col("startYear"), spec.max_year)]
+
 
+def feature_matrix(
+    prepared: DataFrame, spec: FeatureSpec, genres: Sequence[str], *keep: str
+) -> DataFrame:
+    """The columns in ``keep`` followed by one column per feature, ``genres`` included."""
+    dense = dense_columns(spec)
+    numeric_ = len(NUMERIC_FEATURES)
+    return prepared.select(*keep, *dense[:numeric_], *genre_flags(genres), *dense[numeric_:])
 
-def feature_matrix(prepared: DataFrame, spec: FeatureSpec, *keep: str) -> DataFrame:
-    """The columns in ``keep`` followed by one column per feature."""
-    return prepared.select(*keep, *feature_columns(spec))
 
+def assemble(prepared: DataFrame, spec: FeatureSpec, location: str) -> DataFrame:
+    """The rows with a sparse feature vector, written to ``location`` and read back.
 
-def assemble(prepared: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Adds the feature vector; a feature NULL in every row counts as zero."""
-    values = [F.coalesce(c.cast("double"), F.lit(0.0)) for c in feature_columns(spec)]
-    return prepared.withColumn("features", array_to_vector(F.array(*values)))
+    A vector holds the numeric features, the era flags and the numbers of the row's
+    genres; of the genre vocabulary only its size comes to the driver. The parts are
+    written as the plain columns that a stored vector consists of, which reads as one.
+    A feature NULL in every row counts as zero.
+    """
+    index = written_once(genre_index(prepared), f"{location}/genres")
+    lists = genre_places(prepared, index)
+    rows = left_join(prepared, lists, "genres", right_unique=True)
+    dense = [F.coalesce(c.cast("double"), F.lit(0.0)) for c in dense_columns(spec)]
+    places = F.coalesce("places", F.array().cast("array<int>"))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(len(dense) + index.count()).alias("size"),
+        F.concat(
+            F.array(*[F.lit(i) for i in range(len(dense))]),
+            F.transform(places, lambda i: i + F.lit(len(dense))),
+        ).alias("indices"),
+        F.concat(F.array(*dense), F.transform(places, lambda i: F.lit(1.0))).alias("values"),
+    )
+    plain = rows.select(*prepared.columns, vector.alias("features"))
+    written_once(plain, f"{location}/features")
+    schema = T.StructType([*prepared.schema.fields, T.StructField("features", VectorUDT())])
+    return prepared.sparkSession.read.schema(schema).parquet(f"{location}/features")
 
 
-def spread(train: DataFrame) -> DataFrame:
-    """A small training set over all cores, in an order that does not depend on files.
+def spread(train: DataFrame, partitions: int) -> DataFrame:
+    """Training rows dealt by title id to a fixed number of partitions, in a fixed order.
 
-    Trees are grown one task per partition, so a table of few small files would use few
-    cores. A large table has partitions enough and is left as it is.
+    Neither files, cores nor size of the table change which rows a tree samples.
     """
-    if input_bytes(train) >= SPREAD_BELOW:
-        return train
-    cores = train.sparkSession.sparkContext.defaultParallelism
     needed = train.select("tconst", "features", "averageRating")
-    return needed.repartition(cores, "tconst").sortWithinPartitions("tconst", "averageRating")
+    return needed.repartition(partitions, "tconst").sortWithinPartitions("tconst", "averageRating")
 
 
 def fit_forest(train: DataFrame, params: ForestParams = ForestParams()) -> Model:
@@ -183,11 +201,12 @@ def fit_forest(train: DataFrame, params: ForestParams = ForestParams()) -> Model
         featureSubsetStrategy="all",
         minInstancesPerNode=1,
         maxMemoryInMB=params.memory_mb,
-    ).fit(spread(train))
+    ).fit(spread(train, params.partitions))
 
 
 def train_and_evaluate(
     fct: DataFrame,
+    scratch: str,
     params: ForestParams = ForestParams(),
     rated_only: bool = True,
     fit: Callable[[DataFrame, ForestParams], Model] = fit_forest,
@@ -195,18 +214,23 @@ def train_and_evaluate(
     """Train on the earlier years, evaluate on the later ones, predict the recent ones.
 
     None when there is nothing to evaluate on; then nothing should be published.
-    ``rated_only=False`` also predicts films that have no rating yet.
+    ``rated_only=False`` also predicts films that have no rating yet. The predictions
+    read what was written to ``scratch``, a new folder that executors share.
     """
     prepared = prepare(training_rows(fct))
-    if prepared.where(in_test()).isEmpty():
+    sizes = split_sizes(prepared).first()
+    if not sizes["test_rows"]:
         return None
     spec = fit_features(prepared)
-    rows = assemble(prepared, spec)
+    rows = assemble(prepared, spec, scratch)
     model = fit(rows.where(in_train()), params)
-    scored_test = model.transform(rows.where(in_test()))
-    metrics = regression_metrics(scored_test, "averageRating", "predictedRating").first().asDict()
-    scored = model.transform(rows.where(in_apply(rated_only)))
-    predictions = with_rated_flag(scored).select(*PREDICTIONS.names, "hasActualRating")
+    recent = in_test() | in_apply(rated_only)
+    scored = written_once(model.transform(rows.where(recent)).drop("features"), f"{scratch}/scored")
+    tested = scored.where(in_test())
+    metrics = regression_metrics(tested, "averageRating", "predictedRating").first().asDict()
+    metrics["train_rows"] = sizes["train_rows"]
+    applied = scored.where(in_apply(rated_only))
+    predictions = with_rated_flag(applied).select(*PREDICTIONS.names, "hasActualRating")
     return ModelRun(model, spec, metrics, predictions)
 
 

@@ -1,16 +1,13 @@
-"""Session defaults and the shared scratch area."""
+"""Session defaults, sizes and results written once."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 PARTITION_BYTES = 128 << 20     # aimed size of one shuffle partition
@@ -21,8 +18,10 @@ UNKNOWN_BYTES = 1 << 60         # estimates above this are Spark's "unknown"
 def build_session(app: str = "reelmill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the plans are written for.
 
-    Shuffle parallelism is left to the cluster: AQE coalesces small partitions
-    and splits skewed ones, so only a local run needs to lower it.
+    AQE merges small shuffle partitions and splits skewed ones but adds none, so a query
+    that is not written by ``TableStore`` starts from ``spark.sql.shuffle.partitions``;
+    the default here is the number for some 0.5 TB of shuffled data, which a larger
+    cluster raises and a local run lowers. Writes size it themselves.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -30,6 +29,7 @@ def build_session(app: str = "reelmill", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.shuffle.partitions", "4000")
     )
     if master:
         builder = builder.master(master)
@@ -38,17 +38,6 @@ def build_session(app: str = "reelmill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """A new folder name under the cluster's checkpoint folder.
-
-    Only a session that names no such folder (a local run) gets a temporary one.
-    """
-    shared = spark.conf.get(CHECKPOINT_DIR, None)
-    if shared:
-        return f"{shared.rstrip('/')}/reelmill-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def input_bytes(df: DataFrame) -> float:
     """Size of what the plan reads; infinite where the session does not tell.
 
@@ -93,13 +82,13 @@ def sized_shuffles(df: DataFrame) -> Iterator[None]:
         conf.unset(INITIAL_PARTITIONS)
 
 
-def written_once(df: DataFrame) -> DataFrame:
-    """``df`` written to the scratch area and read back, for results read several times.
+def written_once(df: DataFrame, location: str) -> DataFrame:
+    """``df`` written to ``location`` and read back, for results read several times.
 
-    Unlike a checkpoint the files prune columns and tell their size, so a small
+    ``location`` is a new folder that all executors share, such as one below a store's
+    root. Unlike a checkpoint the files prune columns and tell their size, so a small
     result is still broadcast and a large one is not.
     """
-    location = f"{scratch_root(df.sparkSession)}/rows"
     with sized_shuffles(df):
         df.write.parquet(location)
     return df.sparkSession.read.schema(df.schema).parquet(location)

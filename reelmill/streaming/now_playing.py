@@ -2,8 +2,8 @@
 
 The same refresh and upsert as the daily job. The stream's checkpoint remembers
 which page files were read, so a run handles exactly the pages that are new; all
-pages found by one trigger form one snapshot. A batch that is replayed after a
-failure replaces and merges the same rows again, which changes nothing.
+pages found by one trigger form one snapshot. The day of a batch is written beside the
+checkpoint before its first attempt, so a batch replayed after midnight gives the same rows.
 """
 
 from __future__ import annotations
@@ -24,6 +24,13 @@ def utc_today() -> date:
     return datetime.now(timezone.utc).date()
 
 
+def day_of_batch(store: TableStore, path: str, run_date: Callable[[], date]) -> date:
+    """The day stored at ``path``, or else ``run_date`` after storing it there."""
+    stored = store.spark.createDataFrame([(run_date(),)], "day date").coalesce(1)
+    stored.write.mode("ignore").parquet(path)
+    return store.spark.read.schema("day date").parquet(path).first()["day"]
+
+
 def follow_pages(
     store: TableStore,
     landed: jobs.Landed,
@@ -39,12 +46,14 @@ def follow_pages(
         .json(landed.pages)
     )
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
+        day = day_of_batch(store, f"{checkpoint}/batch_days/{number}", run_date)
         films = clean.now_playing_clean(
             films_of_pages(batch),
             scan_genre_dim(store.spark, landed.genres, landed.multi_line),
             scan_external_ids(store.spark, landed.external_ids),
-            run_date(),
+            day,
+            landed.fractions,
         )
         store.full_refresh(jobs.NOW_PLAYING_TABLE, films, skip_if_empty=True)
         jobs.upsert_titles(store, on_duplicate)

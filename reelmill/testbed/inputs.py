@@ -21,6 +21,11 @@ def title_id(key: str) -> str:
     return f"concat('tt', lpad(string({key}), 12, '0'))"
 
 
+def planted(key: str) -> str:
+    """Tenths of a rating that follow from the running time alone."""
+    return f"({key} % 120 * 7 DIV 10)"
+
+
 EXTERNAL_ID = f"""CASE c_custkey % 9
     WHEN 0 THEN NULL
     WHEN 1 THEN concat('nm', string(c_custkey))
@@ -61,7 +66,8 @@ def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = lines.groupBy("l_orderkey").agg({"l_quantity": "sum", "*": "count"})
     return sums.selectExpr(
         f"{title_id('l_orderkey')} AS tconst",
-        "string(double(bigint(`sum(l_quantity)`) % 91 + 10) / 10) AS averageRating",
+        f"string(double({planted('l_orderkey')} + bigint(`sum(l_quantity)`) % 7 + 10) / 10)"
+        " AS averageRating",
         "string(`count(1)`) AS numVotes",
     )
 
@@ -105,11 +111,12 @@ def listed_films(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The listed films on pages of up to twenty."""
+    """The listed films on pages of up to twenty, each with the number of pages."""
     films = listed_films(spark, sf_dir).selectExpr("id DIV 20 AS page", "struct(*) AS film")
     grouped = films.groupBy("page").agg({"film": "collect_list"})
+    total = films.select("page").distinct().count()
     return grouped.toDF("page", "results").selectExpr(
-        "page", "bigint(NULL) AS total_pages", "results"
+        "page + 1 AS page", f"bigint({total}) AS total_pages", "results"
     )
 
 

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from reelmill.plans.jobs import Landed
-from reelmill.session import scratch_root
 from reelmill.testbed import inputs
 
 
+def workspace(spark: SparkSession) -> str:
+    """A new folder for a query's tables: below the session's checkpoint folder, or a
+    temporary one where a local session names none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = shared or tempfile.mkdtemp(prefix="run-")
+    return f"{base.rstrip('/')}/reelmill-{uuid.uuid4().hex}"
+
+
 def write_tsv(df: DataFrame, path: str) -> str:
     (
         df.write.option("sep", "\t")
@@ -39,7 +51,7 @@ def land_titles(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
 
 
 def land_day(spark: SparkSession, sf_dir: str) -> Landed:
-    root = scratch_root(spark)
+    root = workspace(spark)
     basics, ratings = land_titles(spark, sf_dir, root)
     ids = f"{root}/external_ids"
     inputs.crosswalk(spark, sf_dir).write.parquet(ids)

@@ -23,8 +23,8 @@ BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM orders JOIN customer ON o_custkey = c_custkey"""),
     "ratings_raw": ((), """
         SELECT 'tt' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS tconst,
-               CAST(CAST(CAST(sum(l_quantity) AS BIGINT) % 91 + 10 AS DOUBLE) / 10 AS VARCHAR)
-                   AS averageRating,
+               CAST(CAST(l_orderkey % 120 * 7 // 10 + CAST(sum(l_quantity) AS BIGINT) % 7 + 10
+                         AS DOUBLE) / 10 AS VARCHAR) AS averageRating,
                CAST(count(*) AS VARCHAR) AS numVotes
         FROM lineitem GROUP BY l_orderkey"""),
     "snapshots": ((), """
@@ -195,6 +195,10 @@ _SNAPSHOT_COLUMNS = """tmdb_id, imdb_id, title, original_title, original_languag
 _GENRE_METRICS = """count(*) AS num_movies, round(sum(average_rating), 3) / count(*) AS avg_rating,
     CAST(sum(num_votes) AS BIGINT) AS total_votes"""
 
+# Whether a prediction must be near the planted rating: where the running time is known.
+_NEAR = """CASE WHEN CAST(substr(tconst, 3) AS BIGINT) % 7 <> 2
+              AND CAST(substr(tconst, 3) AS BIGINT) % 101 <> 6 THEN true END"""
+
 # Query name -> (blocks it reads, SQL).
 CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
     "scan_tsv_basics": (("basics_raw",), "SELECT * FROM basics_raw"),
@@ -340,24 +344,37 @@ CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT *, unnest(string_split(genres, ',')) AS genre FROM scored
               WHERE startYear >= 2020)
         GROUP BY startYear, genre"""),
-    "rf_predictions": (("scored",), """
+    "rf_predictions": (("scored",), f"""
         SELECT tconst, primaryTitle, startYear, genres, numVotes, averageRating,
-               true AS hasActualRating, true AS in_range
+               true AS hasActualRating, {_NEAR} AS near
         FROM scored WHERE startYear >= 2020"""),
+    "rf_metrics": (("scored",), """
+        SELECT count(*) FILTER (WHERE startYear BETWEEN 2021 AND 2024) AS n_rows,
+               count(*) FILTER (WHERE startYear BETWEEN 2000 AND 2020) AS train_rows,
+               true AS beats_half_deviation, true AS mae_below_rmse
+        FROM scored"""),
     "prediction_sample": (("scored",), """
         SELECT primaryTitle, startYear, genres, averageRating,
                true AS hasActualRating, true AS in_range
         FROM scored WHERE startYear >= 2020 ORDER BY tconst LIMIT 20"""),
-    "publish_predictions": (("scored",), """
-        SELECT tconst, primaryTitle, startYear, genres, numVotes, averageRating,
-               true AS in_range
+    "publish_predictions": (("scored",), f"""
+        SELECT tconst, primaryTitle, startYear, genres, numVotes, averageRating, {_NEAR} AS near
         FROM scored WHERE startYear >= 2020"""),
     "publish_trends": (("scored",), """
         SELECT startYear AS year, genre, round(sum(averageRating), 3) / count(*) AS averageRating,
-               count(tconst) AS movieCount, true AS in_range
+               count(tconst) AS movieCount,
+               CASE WHEN count(tconst) >= 30 THEN true END AS near
         FROM (SELECT *, unnest(string_split(genres, ',')) AS genre FROM scored
               WHERE startYear >= 2020)
         GROUP BY startYear, genre"""),
+    "publish_gate": (("scored",), """
+        SELECT tconst, primaryTitle, startYear, genres, numVotes, averageRating, predictedRating
+        FROM scored WHERE startYear >= 2020"""),
+    "missing_feature_column": (("fct",), """
+        SELECT tconst, CAST(runtime_minutes AS BIGINT) AS runtimeMinutes,
+               CAST(NULL AS DOUBLE) AS numVotes
+        FROM fct"""),
+    "fct_movies_hot_keys": (("fct",), "SELECT * FROM fct"),
     "daily_run": (("basics", "ratings", "listed", "names_text", "crosswalk"), """
         , day_src AS (
             SELECT c.imdb_id AS tconst,

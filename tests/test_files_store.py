@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from reelmill.plans import clean, jobs
 from reelmill.sources import files, schemas
-from reelmill.sources.store import TableStore
+from reelmill.sources.store import ConflictError, TableStore
 from reelmill.streaming.now_playing import follow_pages
 
 HEADER = "tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres\n"
@@ -171,6 +171,63 @@ def test_vacuum_keeps_current_versions(spark, tmp_path):
     assert rows(store.read("imdb_title_ratings")) == [("c", 1.0, 1)]
 
 
+def test_vacuum_leaves_young_folders(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    for key in "ab":
+        store.full_refresh("imdb_title_ratings", ratings(spark, (key, 1.0, 1)))
+    store.vacuum(older_than_hours=1)
+    assert len(list((tmp_path / "store" / "imdb_title_ratings").iterdir())) == 2
+
+
+def test_missing_pages_fail_and_keep_the_old_snapshot(spark, tmp_path):
+    landed = land(tmp_path, spark, [FILMS[:1], FILMS[1:2], FILMS[2:]])
+    store = TableStore(spark, str(tmp_path / "store"))
+    assert jobs.refresh_now_playing(store, landed, date(2024, 6, 2))
+    again = json.loads((tmp_path / "pages" / "0.json").read_text())
+    (tmp_path / "pages" / "again.json").write_text(json.dumps(again))
+    assert jobs.refresh_now_playing(store, landed, date(2024, 6, 2))
+    before = store.current()
+    (tmp_path / "pages" / "2.json").unlink()
+    with pytest.raises(ValueError, match="2 of 3 pages"):
+        jobs.refresh_now_playing(store, landed, date(2024, 6, 3))
+    assert store.current() == before
+
+
+def test_jobs_pass_on_quote_and_partitions(spark, tmp_path):
+    lines = ['tt8\tmovie\t"In ""quotes"""\tNone\t0\t2000\t\\N\t90\tDrama\n']
+    lines += [f"tt{k}\tmovie\tT\tT\t0\t2001\t\\N\t90\tDrama\n" for k in range(100, 160)]
+    path = write_titles(tmp_path / "b", lines)
+    landed = jobs.Landed(path, "", "", "", "", quote='"', partitions=5)
+    store = TableStore(spark, str(tmp_path / "store"))
+    location = store.stage(jobs.BASICS_TABLE, jobs.basics_of(store, landed))
+    assert len([f for f in (tmp_path / location).iterdir() if f.suffix == ".parquet"]) == 5
+    assert store.read_staged(jobs.BASICS_TABLE, location).where("primaryTitle = 'In \"quotes\"'").count() == 1
+
+
+def test_upsert_fails_if_a_refresh_commits_between_read_and_publish(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.full_refresh("imdb_title_basics", basics(spark, ("tt1", "Old", "Old", 1990, 95, "X")))
+    store.full_refresh("imdb_title_ratings", ratings(spark, ("tt1", 1.0, 1)))
+    store.full_refresh("tmdb_now_playing", spark.createDataFrame(CLEAN_FILMS, schemas.NOW_PLAYING))
+    base = store.version()
+    staged = jobs.stage_upserts(
+        store,
+        *[store.read(t, base) for t in ("imdb_title_basics", "imdb_title_ratings", "tmdb_now_playing")],
+    )
+    store.full_refresh("imdb_title_ratings", ratings(spark, ("tt1", 9.0, 9)))
+    with pytest.raises(ConflictError, match="imdb_title_ratings"):
+        jobs.publish_or_discard(store, staged, base, ["tmdb_now_playing"])
+    assert rows(store.read("imdb_title_ratings")) == [("tt1", 9.0, 9)]
+    assert rows(store.read("imdb_title_basics")) == [("tt1", "Old", "Old", 1990, 95, "X")]
+    assert len(list((tmp_path / "store" / "imdb_title_basics").iterdir())) == 1
+    assert not list((tmp_path / "store" / "_scratch").iterdir())
+    other = store.version()
+    store.full_refresh("tmdb_now_playing", spark.createDataFrame(CLEAN_FILMS, schemas.NOW_PLAYING))
+    new = store.stage("imdb_title_ratings", ratings(spark, ("tt2", 2.0, 2)))
+    store.publish({"imdb_title_ratings": new}, other)
+    assert store.read("tmdb_now_playing").count() == 3
+
+
 def basics(spark, *data):
     return spark.createDataFrame(list(data), schemas.BASICS)
 

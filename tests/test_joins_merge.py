@@ -93,22 +93,24 @@ def merge(spark, source, **options):
     return merge_upsert(target(spark), df, "tconst", ["title"], newest_by="day", **options)
 
 
-def test_merge_updates_inserts_and_keeps(spark):
+def test_merge_updates_inserts_and_keeps(spark, tmp_path):
     source = [("tt2", None, 5, DAY), ("tt9", "Nine", None, DAY)]
     expected = [
         ("tt1", "One", 90), ("tt2", None, 80), ("tt2", None, 81), ("tt3", "Three", None),
         ("tt9", "Nine", None),
     ]
-    for options in ({}, {"check_bytes": 0, "hot_rows": 2}):
+    routes = ({}, {"scratch": str(tmp_path / "a")},
+              {"scratch": str(tmp_path / "b"), "check_bytes": 0, "hot_rows": 2})
+    for options in routes:
         assert rows(merge(spark, source, **options)) == rows(
             spark.createDataFrame(expected, TARGET)
         )
 
 
-def test_merge_with_hot_target_key(spark, no_broadcast):
+def test_merge_with_hot_target_key(spark, no_broadcast, tmp_path):
     source = [("tt2", None, 5, DAY), ("tt9", "Nine", None, DAY)]
     plain = rows(merge(spark, source))
-    routed = merge(spark, source, check_bytes=0, hot_rows=2)
+    routed = merge(spark, source, check_bytes=0, hot_rows=2, scratch=str(tmp_path / "s"))
     assert rows(routed) == plain and len(plain) == 5
 
 
@@ -144,10 +146,33 @@ def test_large_target_is_not_shuffled_whole(spark, tmp_path):
     ).write.parquet(str(tmp_path / "t"))
     big = spark.read.parquet(str(tmp_path / "t"))
     source = spark.range(3).selectExpr("concat('tt', id) AS tconst", "'x' AS title", "id AS minutes")
-    text = plan_text(merge_upsert(big, source, "tconst", ["title"]))
+    text = plan_text(merge_upsert(big, source, "tconst", ["title"], scratch=str(tmp_path / "s")))
     assert "LeftOuter, BuildRight" in text and "LeftSemi, BuildRight" in text
 
 
+def test_merge_computes_its_source_once(spark, no_broadcast, tmp_path):
+    """Either route: one window over the source, one full-width shuffle of the target."""
+    day = F.lit(DAY)
+    spark.range(1000).selectExpr("concat('tt', id) AS tconst", "'old' AS title", "id AS minutes").write.parquet(
+        str(tmp_path / "t")
+    )
+    big = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.range(900, 1100).selectExpr("concat('tt', id) AS tconst", "'new' AS title", "id AS minutes")
+    options = {"on_duplicate": "latest", "newest_by": "day"}
+    full = merge_upsert(big, source.withColumn("day", day), "tconst", ["title"], **options)
+    text = plan_text(full)
+    assert text.count("Window [") == 1 and text.count("SortMergeJoin") == 1
+    assert text.count("FileScan") == 1 and "FullOuter" in text
+    stored = merge_upsert(
+        big, source.withColumn("day", day), "tconst", ["title"], scratch=str(tmp_path / "s"), **options
+    )
+    text = plan_text(stored)
+    assert "Window [" not in text
+    assert text.count("minutes#") and rows(stored) == rows(full)
+    whole = [line for line in text.splitlines() if "ReadSchema" in line and "title:string,minutes" in line]
+    assert sum("/t]" in line for line in whole) <= 1
+
+
 def snapshot_rows(spark):
     return spark.createDataFrame(
         [(1, "a", DAY), (1, "b", DAY), (1, "z", datetime.date(2024, 5, 1)), (2, "c", DAY),

@@ -1,11 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_text, rows
+from reelmill.operators import encode
 from reelmill.plans import jobs, ratings_model as rm
 from reelmill.sources.store import TableStore
 
-SMALL = rm.ForestParams(trees=20, depth=5, bins=32)
+SMALL = rm.ForestParams(trees=20, depth=5, bins=32, partitions=4)
 
 
 def fact(spark, n=2000):
@@ -47,10 +48,11 @@ def test_missing_column_becomes_null(spark):
 def test_feature_matrix(spark):
     prepared = rm.prepare(rm.training_rows(fact(spark)))
     spec = rm.fit_features(prepared)
-    assert spec.genres == (" Drama", "Comedy", "Drama", "Unknown", "War")
+    genres = encode.genre_vocabulary(prepared)
+    assert genres == [" Drama", "Comedy", "Drama", "Unknown", "War"]
     assert spec.max_year == 2025
     assert spec.medians["runtimeMinutes"] == prepared.selectExpr("median(runtimeMinutes)").first()[0]
-    matrix = rm.feature_matrix(prepared, spec, "tconst")
+    matrix = rm.feature_matrix(prepared, spec, genres, "tconst")
     assert len(matrix.columns) == 1 + 3 + 5 + 9
     assert matrix.where("runtimeMinutes IS NULL OR numVotes IS NULL").count() == 0
     flags = [c for c in matrix.columns if c.startswith("era_")]
@@ -58,10 +60,38 @@ def test_feature_matrix(spark):
     assert rows(matrix.select(total.alias("eras")).distinct()) == [(1,)]
 
 
-def test_features_need_no_shuffle_and_no_python(spark):
+def test_stored_vectors_equal_the_wide_matrix(spark, tmp_path):
     prepared = rm.prepare(rm.training_rows(fact(spark)))
-    text = rm.assemble(prepared, rm.fit_features(prepared))._jdf.queryExecution().toString()
-    assert "Exchange" not in text and "Python" not in text and "Cartesian" not in text
+    spec, genres = rm.fit_features(prepared), encode.genre_vocabulary(prepared)
+    vectors = rm.assemble(prepared, spec, str(tmp_path / "m"))
+    wide = rm.feature_matrix(prepared, spec, genres, "tconst")
+    numeric, eras = wide.columns[1:4], [c for c in wide.columns if c.startswith("era_")]
+    expected = {r["tconst"]: [float(r[c]) for c in (*numeric, *eras, *genres)] for r in wide.collect()}
+    found = {r["tconst"]: list(r["features"].toArray()) for r in vectors.collect()}
+    assert found == expected
+    assert "Python" not in plan_text(vectors)
+
+
+def test_very_many_genres_train(spark, tmp_path):
+    many = fact(spark, 2600).withColumn(
+        "genres", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.concat(
+            F.lit("g"), ((F.substring("tconst", 3, 7).cast("int") * 4 + k) % 5000).cast("string"))), ",")
+    )
+    params = rm.ForestParams(trees=2, depth=3, bins=8, partitions=4)
+    run = rm.train_and_evaluate(many, str(tmp_path / "m"), params)
+    assert run.predictions.count() > 0 and run.model.numFeatures >= 5000
+
+
+def test_forest_does_not_depend_on_files_or_cores(spark, tmp_path):
+    """The same rows in other files and partitions give the same predictions."""
+    many, one = str(tmp_path / "many"), str(tmp_path / "one")
+    fact(spark).repartition(13).write.parquet(many)
+    fact(spark).orderBy(F.desc("primaryTitle")).coalesce(1).write.parquet(one)
+    found = []
+    for k, path in enumerate((many, one)):
+        run = rm.train_and_evaluate(spark.read.parquet(path), str(tmp_path / f"m{k}"), SMALL)
+        found.append(rows(run.predictions))
+    assert found[0] == found[1]
 
 
 def test_split_spans(spark):
@@ -91,7 +121,8 @@ def test_forest_learns_and_repeats(spark, tmp_path):
     span = published.selectExpr("min(predictedRating)", "max(predictedRating)").first()
     assert 2.0 <= span[0] and span[1] <= 8.4
     assert rows(run.predictions.select("hasActualRating").distinct()) == [(True,)]
-    again = rm.train_and_evaluate(store.read("fct_movies"), SMALL)
+    assert not list((tmp_path / "store" / "_scratch").iterdir())
+    again = rm.train_and_evaluate(store.read("fct_movies"), str(tmp_path / "again"), SMALL)
     assert rows(again.predictions.drop("hasActualRating")) == rows(published)
 
     trends = store.read("imdb_genre_rating_trends")
@@ -102,8 +133,8 @@ def test_forest_learns_and_repeats(spark, tmp_path):
     assert rm.prediction_sample(run.predictions).count() == 20
 
 
-def test_unrated_films_on_request(spark):
-    run = rm.train_and_evaluate(fact(spark, 600), SMALL, rated_only=False)
+def test_unrated_films_on_request(spark, tmp_path):
+    run = rm.train_and_evaluate(fact(spark, 600), str(tmp_path / "m"), SMALL, rated_only=False)
     assert len(run.predictions.select("hasActualRating").distinct().collect()) == 2
 
 
@@ -121,6 +152,7 @@ def test_missing_year_fallback(spark):
 
 
 @pytest.mark.parametrize("trees", [3])
-def test_tree_count(spark, trees):
-    run = rm.train_and_evaluate(fact(spark, 400), rm.ForestParams(trees=trees, depth=3))
+def test_tree_count(spark, trees, tmp_path):
+    params = rm.ForestParams(trees=trees, depth=3)
+    run = rm.train_and_evaluate(fact(spark, 400), str(tmp_path / "m"), params)
     assert run.model.getNumTrees == trees

@@ -4,7 +4,7 @@ import os
 
 from conftest import plan_text
 from reelmill.plans import marts
-from reelmill.session import input_bytes, scratch_root, sized_shuffles, written_once
+from reelmill.session import input_bytes, sized_shuffles, written_once
 
 
 def tables(spark, tmp_path):
@@ -20,11 +20,11 @@ def tables(spark, tmp_path):
     return spark.read.parquet(str(tmp_path / "b")), spark.read.parquet(str(tmp_path / "r"))
 
 
-def test_genre_summary_reads_few_columns_and_joins_inner(spark, tmp_path):
+def test_genre_partials_read_few_columns_and_joins_inner(spark, tmp_path):
     basics, ratings = tables(spark, tmp_path)
     fct = marts.fct_movies(marts.stg_basics(basics), marts.stg_ratings(ratings))
-    text = plan_text(marts.genre_summary(marts.genre_exploded(fct)))
-    assert "ReadSchema: struct<tconst:string,genres:string>" in text
+    text = plan_text(marts.genre_partials(marts.genre_exploded(fct)))
+    assert "ReadSchema: struct<tconst:string,startYear:bigint,genres:string>" in text
     assert "PushedFilters: [IsNotNull(averageRating), IsNotNull(tconst)]" in text
     assert "LeftOuter" not in text and "Inner" in text
     assert "partial_count" in text and "Python" not in text
@@ -47,20 +47,7 @@ def test_shuffles_start_wide_for_large_inputs_only(spark, tmp_path, monkeypatch)
     assert spark.conf.get(key, None) is None
 
 
-def test_scratch_follows_the_cluster_setting(spark):
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert scratch_root(spark).startswith(shared)
-    before = set(os.listdir(shared))
-    assert written_once(spark.range(5)).count() == 5
-    assert len(set(os.listdir(shared)) - before) == 1
-
-
-class _NoSetting:
-    class conf:
-        @staticmethod
-        def get(_, default):
-            return default
-
-
-def test_scratch_without_a_setting_is_temporary():
-    assert os.path.isdir(scratch_root(_NoSetting()))
+def test_written_once_reads_back(spark, tmp_path):
+    location = str(tmp_path / "once")
+    assert written_once(spark.range(5), location).count() == 5
+    assert os.path.isdir(location)

@@ -57,7 +57,7 @@ def test_metrics_of_constant_labels(spark):
     assert statistics.regression_metrics(off, "y", "p").first()["r2"] == 0.0
 
 
-def test_max_year(spark):
+def test_latest_year(spark):
     df = spark.createDataFrame([(2001,), (None,)], "startYear bigint")
-    assert statistics.max_year(df).first()["max_year"] == 2001
-    assert statistics.max_year(df.where("startYear is null")).first()["max_year"] == 2035
+    for rows, year in ((df, 2001), (df.where("startYear is null"), 2035)):
+        assert statistics.latest_year(statistics.column_ranges(rows, ["startYear"])) == year
