@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from reelmill.llm.licence_scan import ABOUT, RULES, SENTENCES, UNKNOWN
+from reelmill.llm.line_rules import (
+    BOILERPLATE, LEAST_WORDS, LONG_LINE, LOSS, MENU_WORDS, NAVIGATION, REPEATED, SHOUTED,
+    SYMBOL_SHARE, VARIETY, WINDOW,
+)
+from reelmill.llm.secret_scan import ALLOWED, ASSIGN_VALUE, CLASSES, WINDOW as SPAN
 
 CHECKS: dict[str, str] = {}
 
@@ -99,3 +104,102 @@ def first_marks() -> str:
 
 
 CHECKS["op6_licence_rules"] = licence_sql()
+
+CHECKS["op9_line_rules"] = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM t),
+windows AS (
+  SELECT doc_id, k, array_to_string(w[k : k + {WINDOW - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS k FROM words WHERE len(w) > {WINDOW})),
+repeated AS (
+  SELECT doc_id, k FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, s) AS c FROM windows)
+  WHERE c > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(k, k + {WINDOW})) AS p FROM repeated) GROUP BY doc_id),
+spoken AS (
+  SELECT doc_id, line, count(*) AS n, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
+         length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line),
+judged AS (
+  SELECT doc_id, n, chars,
+    length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) > {SYMBOL_SHARE} * chars
+    OR len(regexp_extract_all(line, '[!?]{{2,}}')) > {SHOUTED} * len(w)
+    OR (len(w) >= {LONG_LINE} AND len(list_distinct(w)) < {VARIETY} * len(w))
+    OR (len(w) <= {MENU_WORDS} AND regexp_matches(line, '{NAVIGATION}'))
+    OR regexp_matches(line, '{BOILERPLATE}') AS bad
+  FROM spoken),
+losses AS (
+  SELECT doc_id, sum(n) - count(*) AS n_dup, sum(chars) AS chars, sum(CASE WHEN bad THEN chars ELSE 0 END) AS lost
+  FROM judged GROUP BY doc_id),
+measured AS (
+  SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+    coalesce(lost, 0) <= {LOSS} * coalesce(chars, 0) AS passed
+  FROM t JOIN words v ON v.doc_id = t.doc_id
+  LEFT JOIN covered c ON c.doc_id = t.doc_id LEFT JOIN losses l ON l.doc_id = t.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEATED} * n_words AS base_failed,
+       NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEATED} * n_words) AND passed AS kept
+FROM measured
+"""
+
+
+def found_sql(name: str, rank: int, kind: str, pattern: str, check: str = "TRUE") -> str:
+    """Matches of one pattern with their positions, from the pieces between them."""
+    return rf"""
+  {name}_lists AS (SELECT doc_id, regexp_split_to_array(text, '{pattern}') AS pieces,
+                          regexp_extract_all(text, '{pattern}') AS hits FROM t),
+  {name} AS (
+    SELECT doc_id, length(array_to_string(pieces[1 : i], '')) + length(array_to_string(hits[1 : i - 1], '')) AS s,
+           {rank} AS r, '{kind}' AS kind, hits[i] AS hit
+    FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM {name}_lists) WHERE {check})"""
+
+
+# The assignment pattern with both cases spelt out and quotes doubled for SQL.
+ASSIGN_SQL = (
+    r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"""
+    r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+CHECKS["op8_entropy_secrets"] = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{found_sql("assign", 0, "assign", ASSIGN_SQL, f"length(regexp_extract(hits[i], '{ASSIGN_SQL}', 2)) >= {ASSIGN_VALUE}")},
+{found_sql("access", 1, "access", "AKIA[A-Z0-9]+", "length(hits[i]) >= 20")},
+{found_sql("hexes", 2, "hex", "[0-9a-f]+", "length(hits[i]) >= 24")},
+{found_sql("runs", 0, "run", "[0-9A-Za-z+/_=-]+", "length(hits[i]) >= 20")},
+base AS (SELECT doc_id, s, r, kind, s + length(hit) AS e
+         FROM (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hexes)),
+asked AS (
+  SELECT doc_id, s, hit FROM runs r WHERE NOT ({" OR ".join(f"regexp_matches(hit, '{p}')" for p in ALLOWED if chr(92) + "1" not in p)}
+    OR length(replace(hit, hit[1], '')) = 0)
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s < r.s + length(r.hit) AND r.s < b.e)),
+classed AS (
+  SELECT doc_id, s, lower(hit) AS h, 3 AS r, 'entropy_hex' AS kind, {CLASSES["entropy_hex"][2]} AS least
+  FROM asked WHERE regexp_full_match(hit, '[0-9A-Fa-f]+')
+  UNION ALL
+  SELECT doc_id, s, hit, 4, 'entropy_base64', {CLASSES["entropy_base64"][2]} FROM asked),
+slid AS (SELECT *, unnest(range(0, length(h) - {SPAN - 1})) AS k FROM classed),
+letters AS (SELECT doc_id, s, r, kind, least, k, unnest(string_split(substr(h, k + 1, {SPAN}), '')) AS c FROM slid),
+counted AS (SELECT doc_id, s, r, kind, least, k, c, count(*) AS n FROM letters GROUP BY ALL),
+hot AS (SELECT doc_id, s, r, kind, k FROM counted GROUP BY doc_id, s, r, kind, least, k
+        HAVING -sum(n / {SPAN}.0 * log2(n / {SPAN}.0)) >= least - 1e-9),
+parts AS (SELECT doc_id, s + min(k) AS s, r, kind, s + max(k) + {SPAN} AS e FROM hot GROUP BY doc_id, hot.s, r, kind),
+kept AS (SELECT * FROM parts p WHERE r = 3 OR NOT EXISTS (
+  SELECT 1 FROM parts q WHERE q.r = 3 AND q.doc_id = p.doc_id AND q.s < p.e AND p.s < q.e)),
+every AS (SELECT doc_id, s, r, kind, e FROM base UNION ALL SELECT doc_id, s, r, kind, e FROM kept),
+told AS (
+  SELECT doc_id, count(*) FILTER (WHERE r = 0) AS n_assign, count(*) FILTER (WHERE r = 1) AS n_access,
+    count(*) FILTER (WHERE r = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r) FILTER (WHERE r < 3) AS base_spans,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r) AS spans
+  FROM every GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign,
+       CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN told ON told.doc_id = t.doc_id
+"""
