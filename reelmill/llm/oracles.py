@@ -7,6 +7,7 @@ from reelmill.llm.line_rules import (
     BOILERPLATE, LEAST_WORDS, LONG_LINE, LOSS, MENU_WORDS, NAVIGATION, REPEATED, SHOUTED,
     SYMBOL_SHARE, VARIETY, WINDOW,
 )
+from reelmill.llm.paragraph_dedup import LEAST_WORDS as PARAGRAPH_WORDS, PERCENT as PARAGRAPH_PERCENT
 from reelmill.llm.secret_scan import ALLOWED, ASSIGN_VALUE, CLASSES, WINDOW as SPAN
 
 CHECKS: dict[str, str] = {}
@@ -203,3 +204,55 @@ SELECT t.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign,
        sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM t LEFT JOIN told ON told.doc_id = t.doc_id
 """
+
+
+def components_sql(percent: int) -> str:
+    """Classes of ``sets (item, s)``: links by shared shingles, then everything reachable."""
+    return rf"""
+sizes AS (SELECT item, count(*) AS n FROM sets GROUP BY item),
+shared AS (SELECT a.item AS x, b.item AS y, count(*) AS c
+           FROM sets a JOIN sets b ON b.s = a.s AND a.item <> b.item GROUP BY a.item, b.item),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.item = x JOIN sizes q ON q.item = y
+          WHERE 100 * c >= {percent} * (p.n + q.n - c)),
+reach(item, seen) AS (
+  SELECT item, item FROM sizes
+  UNION
+  SELECT r.item, l.y FROM reach r JOIN links l ON l.x = r.seen),
+classes AS (SELECT item, min(seen) AS component FROM reach GROUP BY item)"""
+
+
+def shingles_sql(source: str, item: str, text: str) -> str:
+    lowered = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+words AS (SELECT {item} AS item, regexp_extract_all({lowered}, '[^\x20\x09-\x0D]+') AS w FROM {source}),
+sets AS (SELECT DISTINCT item, array_to_string(w[k : k + 4], ' ') AS s
+         FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM words WHERE len(w) > 0))"""
+
+
+CHECKS["op3_chosen_path"] = rf"""
+WITH RECURSIVE {shingles_sql("documents", "doc_id", "coalesce(text, '')")},
+{components_sql(85)}
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       coalesce(component, d.doc_id) AS component_id, coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes z ON z.item = d.doc_id LEFT JOIN classes c ON c.item = d.doc_id
+"""
+
+CHECKS["op10_paragraph_dedup"] = rf"""
+WITH RECURSIVE lines AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k, ls
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+placed AS (
+  SELECT doc_id, CAST(k AS INTEGER) AS paragraph, line, doc_id * 1000000 + k AS place,
+    CAST(CASE WHEN k = 0 THEN 0 ELSE length(array_to_string(ls[1 : k], chr(10))) + 1 END AS BIGINT) AS start,
+    CAST(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS INTEGER) AS n_words
+  FROM lines WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= {PARAGRAPH_WORDS}),
+{shingles_sql("placed", "place", "line")},
+{components_sql(PARAGRAPH_PERCENT)},
+grouped AS (
+  SELECT p.*, component, count(*) OVER (PARTITION BY component) AS n_copies
+  FROM placed p JOIN classes c ON c.item = p.place)
+SELECT doc_id, paragraph, start, start + length(line) AS "end", n_words,
+       component // 1000000 AS first_doc_id, CAST(component % 1000000 AS INTEGER) AS first_paragraph,
+       n_copies, place <> component AS removed
+FROM grouped WHERE n_copies > 1
+"""
