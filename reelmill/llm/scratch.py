@@ -29,9 +29,9 @@ class Scratch:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def store(self, df: DataFrame, table: str) -> DataFrame:
+    def store(self, df: DataFrame, table: str, compression: str = "snappy") -> DataFrame:
         """Write ``df`` and read it back under the same schema."""
-        df.write.parquet(self.path(table))
+        df.write.option("compression", compression).parquet(self.path(table))
         return self.read(table, df)
 
     def read(self, table: str, like: DataFrame) -> DataFrame:

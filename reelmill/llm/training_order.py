@@ -93,15 +93,12 @@ def permuted(values: np.ndarray, count: int, key: int, inverse: bool = False) ->
     return out.astype(np.int64)
 
 
-def squeezed(blocks: np.ndarray) -> bytes:
-    """Token blocks compressed, low and high bytes apart."""
-    planes = np.ascontiguousarray(blocks.view(np.uint8).reshape(-1, 2).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+def squeezed(blocks: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(blocks)
 
 
 def unsqueezed(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(2, -1).T).view(TOKEN).ravel()
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=TOKEN)
 
 
 def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
@@ -136,7 +133,7 @@ def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
             columns = [
                 pa.array([length] * full, pa.int32()),
                 pa.array(docs_of, arrow.field("doc_ids").type),
-                pa.array([squeezed(block) for block in blocks], pa.binary()),
+                pa.array([block.tobytes() for block in blocks], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
@@ -190,14 +187,13 @@ def bundles(rows: DataFrame, count: int, key: int, shard_slots: int) -> DataFram
             out = []
             for part in parts:
                 taken = batch.take(pa.array(part))
-                blocks = np.concatenate([unsqueezed(t) for t in taken.column("tokens").to_pylist()])
                 out.append(
                     (
                         int(slots[part[0]] // shard_slots),
                         slots[part],
                         taken.column("n_tokens").to_numpy(),
                         taken.column("doc_ids").to_pylist(),
-                        squeezed(blocks),
+                        squeezed(b"".join(taken.column("tokens").to_pylist())),
                     )
                 )
             columns = zip(*out) if out else [[] for _ in BUNDLE]
@@ -271,7 +267,7 @@ def materialise(
     folder = folder or space.path("shards")
     if "://" not in folder:
         folder = f"file://{folder}"
-    sequences = space.store(packed(docs, vocabulary, length), "sequences")
+    sequences = space.store(packed(docs, vocabulary, length), "sequences", "zstd")
     rows, count = numbered(sequences)
     files, root = fs.FileSystem.from_uri(folder)
     files.create_dir(root)
