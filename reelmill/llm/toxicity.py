@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from reelmill.llm.indicators import (
-    BUCKETS, SAMPLE_ROWS, WordIndicators, fitted, labelled_features, labelled_sample,
+    BUCKETS, WordIndicators, fitted, labelled_features, labelled_sample,
 )
 from reelmill.llm.words import text_bytes
 
+SAMPLE_ROWS = 8_000         # labelled rows that the chain is fitted on, at most
 FOLDS = 3
 CHI_SQUARE = 15.1           # a word's statistic from which chance is below 1 in 10,000
 PENALTY = 0.3
