@@ -13,7 +13,7 @@ from reelmill.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
