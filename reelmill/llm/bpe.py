@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
@@ -24,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-CACHE_TOKENS = 400_000      # pre-tokens whose ids a task remembers before it starts afresh
+CACHE_TOKENS = 300_000      # pre-tokens whose ids a task remembers before it starts afresh
 GROUP_CHARACTERS = 1 << 20  # characters cut at once
 FIRST_CHARACTER = 0x100     # byte b is written as the character FIRST_CHARACTER + b
 
@@ -82,15 +83,20 @@ def ascii_pattern(pattern: str) -> re.Pattern:
 
 
 class Encoder:
-    """Texts to ids inside a task; remembers the ids of pre-tokens it meets often."""
+    """Texts to ids inside a task; remembers the ids of pre-tokens it meets often.
 
-    def __init__(self, vocabulary: Vocabulary, model: bytes) -> None:
+    They are kept as the bytes of an array of ``dtype`` (4-byte or 2-byte integers), so
+    that a text's ids are one join of them.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, model: bytes, dtype: str = "int32") -> None:
         from sentencepiece import SentencePieceProcessor
 
         self.processor = SentencePieceProcessor(model_proto=model)
         self.ranks = {token: rank for rank, token in enumerate(vocabulary.tokens)}
         self.table = {b: FIRST_CHARACTER + b for b in range(256)}
-        self.known: dict[str, list[int]] = {}
+        self.dtype = np.dtype(dtype)
+        self.known: dict[str, bytes] = {}
         self.cut_any = regex.compile(vocabulary.pattern).findall
         self.cut_ascii = ascii_pattern(vocabulary.pattern).findall
 
@@ -100,12 +106,16 @@ class Encoder:
     def learn(self, tokens: list[str]) -> None:
         whole = [self.ranks.get(token.encode()) for token in tokens]
         rest = [token for token, rank in zip(tokens, whole) if rank is None]
-        characters = [t.encode().decode("latin-1").translate(self.table) for t in rest]
-        self.known.update((t, [r]) for t, r in zip(tokens, whole) if r is not None)
+        code = self.dtype.char
+        self.known.update(
+            (t, array(code, (rank,)).tobytes()) for t, rank in zip(tokens, whole) if rank is not None
+        )
         if rest:
-            self.known.update(zip(rest, self.processor.encode(characters, num_threads=1)))
+            characters = [t.encode().decode("latin-1").translate(self.table) for t in rest]
+            ids = self.processor.encode(characters, num_threads=1)
+            self.known.update((t, array(code, row).tobytes()) for t, row in zip(rest, ids))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; callers bound the characters they hand over at once."""
         cuts = [self.cut(text) for text in texts]
         distinct = set(chain.from_iterable(cuts))
@@ -113,9 +123,9 @@ class Encoder:
             self.known.clear()
         self.learn([token for token in distinct if token not in self.known])
         ids = self.known.__getitem__
-        return [list(chain.from_iterable(map(ids, tokens))) for tokens in cuts]
+        return [np.frombuffer(b"".join(map(ids, tokens)), dtype=self.dtype) for tokens in cuts]
 
-    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids text by text, cut in groups of bounded size."""
         group, size = [], 0
         for text in texts:
@@ -147,7 +157,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
         encoder = Encoder(Vocabulary(tokens, pattern), model)
         for batch in batches:
             texts = [value or "" for value in batch.column(text).to_pylist()]
-            flat = [np.array(row, dtype=np.int32) for row in encoder.encode_all(texts)]
+            flat = list(encoder.encode_all(texts))
             offsets = np.cumsum([0, *map(len, flat)])
             values = np.concatenate(flat) if flat else np.empty(0, dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))

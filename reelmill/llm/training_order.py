@@ -113,8 +113,9 @@ def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, pattern, model = shared.value
-        encoder = Encoder(Vocabulary(tokens, pattern), model)
+        encoder = Encoder(Vocabulary(tokens, pattern), model, TOKEN.str)
         held = np.empty(0, dtype=TOKEN)
+        stop = np.full(1, end, dtype=TOKEN)
         owners: list[tuple[int | None, int]] = []       # document and its end in ``held``
 
         def rows(full: int) -> pa.RecordBatch:
@@ -122,13 +123,13 @@ def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
             blocks = held[: full * length].reshape(full, length)
             docs_of: list[list[int]] = [[] for _ in range(full)]
             start = 0
-            for doc, stop in owners:
-                for k in range(start // length, min(full, -(-stop // length))):
+            for doc, last in owners:
+                for k in range(start // length, min(full, -(-last // length))):
                     if doc is not None and (not docs_of[k] or docs_of[k][-1] != doc):
                         docs_of[k].append(doc)
-                start = stop
+                start = last
             cut = full * length
-            owners = [(doc, stop - cut) for doc, stop in owners if stop > cut]
+            owners = [(doc, last - cut) for doc, last in owners if last > cut]
             held = held[cut:]
             columns = [
                 pa.array([length] * full, pa.int32()),
@@ -141,8 +142,8 @@ def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
             texts = [value or "" for value in batch.column("text").to_pylist()]
             parts, at = [held], len(held)
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(texts)):
-                if ids:
-                    parts.append(np.array([*ids, end], dtype=TOKEN))
+                if len(ids):
+                    parts += [ids, stop]
                     at += len(ids) + 1
                     owners.append((doc, at))
             held = np.concatenate(parts)
