@@ -14,7 +14,7 @@ from reelmill.llm.words import CACHE_WORDS, WordHashes, mixed, plain_words, sequ
 
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
-SAMPLE_ROWS = 20_000        # labelled rows that a classifier is fitted on, at most
+SAMPLE_ROWS = 8_000         # labelled rows that a classifier is fitted on, at most
 
 PREFIXES = (4, 5, 6, 7)     # characters of a word's beginning
 
