@@ -213,13 +213,14 @@ def train_and_evaluate(
 ) -> ModelRun | None:
     """Train on the earlier years, evaluate on the later ones, predict the recent ones.
 
-    None when there is nothing to evaluate on; then nothing should be published.
+    None when there is nothing to train or to evaluate on; then nothing should be
+    published.
     ``rated_only=False`` also predicts films that have no rating yet. The predictions
     read what was written to ``scratch``, a new folder that executors share.
     """
     prepared = prepare(training_rows(fct))
     sizes = split_sizes(prepared).first()
-    if not sizes["test_rows"]:
+    if not sizes["train_rows"] or not sizes["test_rows"]:
         return None
     spec = fit_features(prepared)
     rows = assemble(prepared, spec, scratch)

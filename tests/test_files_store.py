@@ -1,11 +1,13 @@
 import gzip
 import json
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from reelmill.__main__ import main
 from reelmill.plans import clean, jobs
 from reelmill.sources import files, schemas
 from reelmill.sources.store import ConflictError, TableStore
@@ -252,6 +254,25 @@ def test_upsert_publishes_both_tables_or_none(spark, tmp_path):
     assert store.current() == before
 
 
+def test_two_days_leave_only_published_folders(spark, tmp_path):
+    pages = land(tmp_path, spark, [FILMS[:2], FILMS[2:]])
+    basics_path = write_titles(tmp_path / "b")
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "x.tsv").write_text("tconst\taverageRating\tnumVotes\ntt1\t5.0\t7\n")
+    landed = replace(pages, basics=basics_path, ratings=str(tmp_path / "r"))
+    store = TableStore(spark, str(tmp_path / "store"))
+    for day in (2, 3):
+        assert jobs.daily_run(store, landed, date(2024, 6, day)) is None
+    published = store.current()
+    assert len(published) == 7
+    for table in published:
+        assert len(list((tmp_path / "store" / table).iterdir())) == 2, table
+    assert not list((tmp_path / "store" / "_scratch").iterdir())
+    main(["vacuum", "--root", str(tmp_path / "store"), "--older-than-hours", "0"])
+    assert {t: len(list((tmp_path / "store" / t).iterdir())) for t in published} == dict.fromkeys(published, 1)
+    assert [r["title"] for r in store.read("tmdb_now_playing").orderBy("tmdb_id").collect()] == ["A", "B", "C"]
+
+
 def test_stream_takes_each_page_once(spark, tmp_path):
     landed = land(tmp_path, spark, [FILMS])
     store = TableStore(spark, str(tmp_path / "store"))
