@@ -9,7 +9,7 @@ import tempfile
 import time
 
 from reelmill.session import build_session
-from reelmill.testbed.registry import QUERIES
+from reelmill.testbed.registry import QUERIES, SHARED
 
 HEADLINE = (
     "basics_clean", "ratings_clean", "tmdb_clean", "latest_per_key", "merge_basics",
@@ -25,6 +25,7 @@ def seconds(spark, name: str, sf_dir: str) -> float:
     """Median of three runs after a warm-up; of a long query, the first run."""
 
     def once() -> float:
+        SHARED.clear()
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start

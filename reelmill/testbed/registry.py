@@ -20,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = date(2024, 6, 2)
 
 QUERIES: dict[str, Query] = {}
+SHARED: dict = {}           # results that several queries look at; clear it to time them
 
 
 def query(fn: Query) -> Query:
@@ -29,13 +30,12 @@ def query(fn: Query) -> Query:
 
 def once_per_session(make: Callable) -> Callable:
     """Queries that look at one result of a long job share it within a session."""
-    made: dict = {}
 
     def shared(spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in made:
-            made[key] = make(spark, sf_dir)
-        return made[key]
+        key = (make.__name__, spark.sparkContext.applicationId, sf_dir)
+        if key not in SHARED:
+            SHARED[key] = make(spark, sf_dir)
+        return SHARED[key]
 
     return shared
 
