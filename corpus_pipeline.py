@@ -1,7 +1,8 @@
 """The training-data pipeline over ``documents``: five stages, each written before the next.
 
 1. toxicity: documents that the classifier chain rejects go.
-2. near_dedup: one document of each near-duplicate class stays, the one of least id.
+2. near_dedup: one document of each near-duplicate class stays, the one of least id; linked
+   are documents that share at least ``NEAR_PERCENT`` of their five-word shingles.
 3. decontaminate: passages of the benchmark are cut out of the texts; a document without a
    word left goes.
 4. secrets: findings are replaced by a mark.
@@ -24,6 +25,8 @@ from reelmill.llm.scratch import Scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+NEAR_PERCENT = 80
+
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The chain is fitted on the labelled rows among ``docs``."""
@@ -34,7 +37,7 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected ids are the smaller side; they are matched, never broadcast unchecked."""
-    classes = chosen_path.near_duplicates(docs)
+    classes = chosen_path.near_duplicates(docs, percent=NEAR_PERCENT)
     gone = classes.where("NOT kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
