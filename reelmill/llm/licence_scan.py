@@ -6,7 +6,13 @@ rule that finds its identifiers next to each other takes them, so that later, we
 rules do not use them again. Sentences that speak of licences but are not known get the
 identifier ``UNKNOWN``.
 
-Row by row on the JVM, without a shuffle.
+A sentence ends at sentence punctuation, a blank line or a list mark. Lines within it are
+joined, comment marks aside, where that gives a known sentence: wherever it starts and over
+however many lines. A line that is known by itself is a sentence of its own, so notices
+without punctuation are told apart from the lines around them. Lines that follow a known
+sentence with an open end belong to it; unknown lines next to each other are one sentence.
+
+Row by row, without a shuffle; only texts with a word of licences leave the JVM.
 
 Defined results: NULL and empty texts have no sentences (empty arrays); repeated rows are
 scanned each; columns named like a result are replaced.
@@ -14,8 +20,10 @@ scanned each; columns named like a result are replaced.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmill.llm.expressions import let, whole
@@ -73,18 +81,114 @@ RULES = (
 )
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences that speak of licences; lines and sentence ends separate them."""
-    ends = F.regexp_replace(F.lower(text), r"([.!?])[ \t]+", "$1\n")
-    plain = lambda s: F.trim(F.regexp_replace(s, r"[^a-z0-9.+-]+", " "))
-    bare = lambda s: F.trim(F.regexp_replace(plain(s), r"[ .]+$", ""))
-    about = F.filter(F.split(ends, "\n"), lambda s: F.rlike(s, F.lit(ABOUT)) | F.contains(s, F.lit("spdx-")))
-    return F.transform(about, bare)
-
-
-def identifier(sentence: Column) -> Column:
-    known = [F.when(F.rlike(sentence, F.lit(f"^({p})$")), F.lit(name)) for name, p in SENTENCES]
-    return F.coalesce(*known, F.lit(UNKNOWN))
+# Parts of the words of ABOUT that no line end can cut.
+GATE = r"licen[cs]|copyright|permission|redistribut|warrant|reserved|domain|spdx-"
+
+_ABOUT = re.compile(ABOUT + "|spdx-")
+_KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
+_END = re.compile(r"""[.!?]["')\]*/\s]*$""")
+_LISTED = re.compile(r"[^\w(]*(?!\(c\))(?:\(?[0-9a-z]{1,3}\)|[0-9]{1,3}\.|[a-z]\.)\s")
+_MARK = re.compile(r"\s*([^\w\s(\"']*)")
+_NOTICE = re.compile(r"copyright (c |[0-9])")
+# Sentences that go on to their end; a line of copyright ends with the line.
+_OPEN = {name for name, pattern in SENTENCES if pattern.endswith(".*")} - {"COPYRIGHT"}
+# Sentences that may begin on an earlier line than the words that tell them.
+_LED = {name for name, pattern in SENTENCES if pattern.startswith(".*")} - {"SPDX"}
+
+
+def _over_lines(pattern: str) -> re.Pattern:
+    """A known sentence as a run of whole lines: any blank may be a line end."""
+    outer = re.match(r"(\.\*)?(.*?)(\.\*)?$", pattern)
+
+    def wider(part: re.Match) -> str:
+        return {" ": r"[ \n]", ".": r"[\s\S]", ".*": r"[\s\S]*?"}.get(part[0], part[0])
+
+    inner = re.sub(r"\\.|\[[^]]*\]|\.\*|[. ]", wider, outer[2])
+    return re.compile(f"(?m)^{outer[1] or ''}(?:{inner}){outer[3] or ''}$")
+
+
+_WRAPPED = [(name, _over_lines(pattern)) for name, pattern in SENTENCES if name != "COPYRIGHT"]
+
+
+def _plain(line: str) -> str:
+    plain = re.sub(r"[^a-z0-9.+-]+", " ", line).strip(" ")
+    return re.sub(r"[ .]+$", "", plain).strip(" ")
+
+
+def _known(sentence: str) -> str | None:
+    return next((name for name, pattern in _KNOWN if pattern.fullmatch(sentence)), None)
+
+
+def blocks(text: str) -> list[list[str]]:
+    """Lines of a lower-case text up to sentence punctuation, blank lines and list marks."""
+    out: list[list[str]] = [[]]
+    last = ""
+    for line in text.split("\n"):
+        mark = _MARK.match(line)[1]
+        bullet = mark in ("-", "+", "*", "\u2022") and mark != last
+        if out[-1] and (bullet or not re.search(r"[^\W_]", line) or _LISTED.match(line)):
+            out.append([])
+        last = mark
+        pieces = re.split(r"(?<=[.!?])[ \t]+", line)
+        for k, piece in enumerate(pieces):
+            if re.search(r"[^\W_]", piece):
+                out[-1].append(piece)
+            if out[-1] and (k + 1 < len(pieces) or _END.search(piece)):
+                out.append([])
+    return out
+
+
+def block_identifiers(lines: list[str]) -> list[str]:
+    """Identifiers of the sentences in lines that no sentence end parts."""
+    if not re.search(GATE, "\n".join(lines)):
+        return []
+    plain = [_plain(line) for line in lines]
+    bare = [line.lstrip(" .+-") for line in plain]
+    alone = [_known(p) or _known(b) for p, b in zip(plain, bare)]
+    starts = {
+        k: (k + 1, name)
+        for k, name in enumerate(alone)
+        if name and (name != "COPYRIGHT" or _NOTICE.match(bare[k]))
+    }
+    edges = [-1, *starts, len(lines)]
+    for low, high in zip(edges[:-1], edges[1:]):
+        if high - low <= 2:
+            continue
+        joined, taken = "\n".join(bare[low + 1 : high]), set()
+        for name, pattern in _WRAPPED:
+            for match in pattern.finditer(joined):
+                first = low + 1 + joined.count("\n", 0, match.start())
+                run = range(first, first + match[0].count("\n") + 1)
+                if taken.isdisjoint(run):
+                    taken.update(run)
+                    starts[first] = (run.stop, name)
+    ids, k = [], 0
+    while k < len(lines):
+        stop, name = starts.get(k, (k + 1, alone[k]))
+        if name is None or name in _OPEN:
+            while stop < len(lines) and stop not in starts and (name or not alone[stop]):
+                stop += 1
+        led = name is None and starts.get(stop, (0, ""))[1] in _LED
+        said = " ".join(lines[k:stop]) + "\n" + " ".join(bare[k:stop])
+        if not led and _ABOUT.search(said):
+            ids.append(name or UNKNOWN)
+        k = stop
+    return ids
+
+
+def identifiers(text: Column) -> Column:
+    """Identifiers of the sentences that speak of licences, in the text's order."""
+
+    def named(texts: pa.Array) -> pa.Array:
+        found = [
+            [name for block in blocks(t.as_py().lower()) for name in block_identifiers(block)]
+            if t.is_valid else []
+            for t in texts
+        ]
+        return pa.array(found, pa.list_(pa.string()))
+
+    asked = F.when(F.rlike(F.lower(text), F.lit(GATE)), text)
+    return F.arrow_udf(named, "array<string>")(asked)
 
 
 def matched(identifiers: Column) -> Column:
@@ -112,9 +216,7 @@ def matched(identifiers: Column) -> Column:
 def scan(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``sentence_ids`` and ``licences``, both arrays of strings."""
     given = df.drop(*[c for c in df.columns if c.lower() in ("sentence_ids", "licences") and c != text])
-    named = given.withColumn(
-        "sentence_ids", let(sentences(whole(text)), lambda all_: F.transform(all_, identifier))
-    )
+    named = given.withColumn("sentence_ids", identifiers(whole(text)))
     none = F.array().cast("array<string>")
     return named.withColumn(
         "licences", F.when(F.size("sentence_ids") > 0, matched(F.col("sentence_ids"))).otherwise(none)

@@ -1,0 +1,60 @@
+"""Licence texts wrapped over lines, as files carry them."""
+
+import textwrap
+
+import pytest
+
+from reelmill.llm import licence_scan as ls
+
+GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+SOURCE = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+BINARY = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation."
+ENDORSE = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+GPL = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+MIT = [
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, subject to the following conditions:",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE.',
+]
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+LGPL = "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation."
+BSD_IDS = ["BSD_GRANT", "BSD_SOURCE", "BSD_BINARY"]
+
+TEXTS = [
+    ([GRANT, "1. " + SOURCE, "2. " + BINARY, "3. " + ENDORSE], ["BSD-3-Clause"], BSD_IDS + ["BSD_ENDORSE"]),
+    ([GRANT, "* " + SOURCE, "* " + BINARY], ["BSD-2-Clause"], BSD_IDS),
+    (["Copyright (c) 2020 Someone", *MIT], ["MIT"], ["COPYRIGHT", "MIT_GRANT", "MIT_NOTICE", "AS_IS"]),
+    ([GPL], ["GPL"], ["GPL_REDISTRIBUTE"]),
+    ([LGPL], ["LGPL"], ["LGPL_NAMED"]),
+    ([APACHE], ["Apache-2.0"], None),
+    (["Released under the MIT License."], ["MIT"], ["MIT_NAMED"]),
+    (["All rights reserved."], ["Proprietary"], ["RESERVED"]),
+]
+
+
+def wrapped(paragraphs, width, mark, gap):
+    lines = []
+    for k, p in enumerate(paragraphs):
+        lines += ([""] if k and gap else []) + textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False)
+    return "\n".join(mark + line for line in lines)
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", "-- "])
+@pytest.mark.parametrize("width", [24, 40, 50, 72, 78, 1000])
+def test_wrapping_does_not_hide_a_licence(spark, width, mark):
+    texts = [wrapped(p, width, mark, gap) for p, _, _ in TEXTS for gap in (True, False)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in ls.scan(df).collect():
+        _, licences, ids = TEXTS[row["doc_id"] // 2]
+        assert row["licences"] == licences, row["text"]
+        assert ids is None or row["sentence_ids"] == ids, row["text"]
+
+
+def test_lines_around_a_notice_stay_apart():
+    def ids(text):
+        return [name for b in ls.blocks(text.lower()) for name in ls.block_identifiers(b)]
+
+    assert ids("a line of prose\nReleased under the MIT License\nand more prose") == ["MIT_NAMED"]
+    assert ids("our own licence\nof two lines with a licence\n\nanother licence") == ["UNKNOWN"] * 2
+    assert ids("Copyright 2020 A\nAll rights\nreserved\nour licence") == ["COPYRIGHT", "RESERVED", "UNKNOWN"]
+    assert ids("word\n" * 20000 + "dedicated to the public\ndomain") == ["CC0"]
