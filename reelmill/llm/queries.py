@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmill.llm import (
-    bpe, chosen_path, decontaminate, licence_scan, line_rules, paragraph_dedup, quality,
-    secret_scan, toxicity, training_order,
+    bpe, chosen_path, decontaminate, licence_scan, line_rules, paragraph_dedup, passages,
+    quality, secret_scan, toxicity, training_order,
 )
 from reelmill.llm.indicators import in_hash_part
 
@@ -144,3 +144,9 @@ def op7_training_order(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     placed, _ = training_order.materialise(docs, default_vocabulary(), key=20_240_602)
     return placed
+
+
+@query
+def op10_repeated_passages(spark, sf_dir):
+    """Runs of 50 words and more that repeat, wherever they start; beside the lines of op10."""
+    return passages.passages(table(spark, sf_dir, "documents"))
