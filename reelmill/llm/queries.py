@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmill.llm import (
     bpe, chosen_path, decontaminate, licence_scan, line_rules, paragraph_dedup, passages,
-    quality, secret_scan, toxicity, training_order,
+    quality, secret_scan, token_counts, toxicity, training_order,
 )
 from reelmill.llm.indicators import in_hash_part
 
@@ -33,6 +33,14 @@ def default_vocabulary() -> bpe.Vocabulary:
     return bpe.read_vocabulary(path, public_tokenizers.PATTERN)
 
 
+def default_merges() -> token_counts.Merges:
+    import public_tokenizers
+
+    return token_counts.read_merges(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    )
+
+
 @query
 def op4_byte_bpe(spark, sf_dir):
     """Ids of every text, and the text decoded from them, as digests."""
@@ -150,3 +158,18 @@ def op7_training_order(spark, sf_dir):
 def op10_repeated_passages(spark, sf_dir):
     """Runs of 50 words and more that repeat, wherever they start; beside the lines of op10."""
     return passages.passages(table(spark, sf_dir, "documents"))
+
+
+CONTEXT_TOKENS = 1024
+
+
+@query
+def op13_token_counts(spark, sf_dir):
+    """Bytes and tokens of every text, and whether it is longer than the context."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    )
+    counted = token_counts.count_tokens(docs, default_merges())
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit")
+    )
