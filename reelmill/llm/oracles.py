@@ -256,3 +256,45 @@ SELECT doc_id, paragraph, start, start + length(line) AS "end", n_words,
        n_copies, place <> component AS removed
 FROM grouped WHERE n_copies > 1
 """
+
+CHECKS["op12_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+uses AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+langs AS (
+  SELECT lang, term, count(*) AS n FROM uses GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+lang_sizes AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM langs GROUP BY lang),
+grps AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM uses GROUP BY ALL),
+given AS (
+  SELECT g.lang, g.source, l.term, coalesce(c.n, 0) AS n, l.n AS lang_n
+  FROM grps g JOIN langs l ON l.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = l.term),
+sizes AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM given GROUP BY lang, source),
+shares AS (
+  SELECT x.lang, x.source, x.term, x.n,
+         1 + (1000000000::HUGEINT * (x.n + 2)) // (s.total + 2 * z.v) AS p,
+         1 + (1000000000::HUGEINT * (x.lang_n + 2)) // (z.total + 2 * z.v) AS q
+  FROM given x JOIN sizes s ON s.lang = x.lang AND s.source = x.source
+  JOIN lang_sizes z ON z.lang = x.lang),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+  GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grps a JOIN grps b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmill.llm import (
-    bpe, chosen_path, decontaminate, licence_scan, line_rules, paragraph_dedup, passages,
+    bpe, chosen_path, count_cells, decontaminate, licence_scan, line_rules, paragraph_dedup, passages,
     quality, secret_scan, token_counts, toxicity, training_order,
 )
 from reelmill.llm.indicators import in_hash_part
@@ -173,3 +173,12 @@ def op13_token_counts(spark, sf_dir):
     return counted.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit")
     )
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    """How far sources of a language are apart, and the terms that mark each source."""
+    audit = count_cells.Audit(table(spark, sf_dir, "documents"))
+    parts = {"pair": audit.pairs(), "term": audit.top_terms()}
+    pair, term = (df.withColumn("part", F.lit(name)) for name, df in parts.items())
+    return pair.unionByName(term).select("lang", "source", "part", "item", "value", "rank")
