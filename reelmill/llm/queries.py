@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelmill.llm import (
     bpe, chosen_path, count_cells, decontaminate, licence_scan, line_rules, paragraph_dedup, passages,
-    quality, secret_scan, token_counts, toxicity, training_order,
+    quality, secret_scan, spelling, token_counts, toxicity, training_order,
 )
 from reelmill.llm.indicators import in_hash_part
 
@@ -182,3 +182,9 @@ def op12_source_divergence(spark, sf_dir):
     parts = {"pair": audit.pairs(), "term": audit.top_terms()}
     pair, term = (df.withColumn("part", F.lit(name)) for name, df in parts.items())
     return pair.unionByName(term).select("lang", "source", "part", "item", "value", "rank")
+
+
+@query
+def op11_spelling_variants(spark, sf_dir):
+    """Words of all documents, the near form that is used more, and the root it leads to."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
