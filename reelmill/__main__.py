@@ -5,8 +5,8 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime, timezone
 
-from reelmill.plans import jobs
-from reelmill.plans.ratings_model import ForestParams
+from reelmill.operators.forest import ForestParams
+from reelmill.plans import jobs, ratings_model
 from reelmill.session import build_session
 from reelmill.sources.store import TableStore
 
@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     parser.add_argument("--run-date", type=date.fromisoformat, help="default: today in UTC")
     parser.add_argument("--on-duplicate", choices=["error", "latest"], default="error")
     parser.add_argument("--unrated-too", action="store_true", help="predict unrated films")
-    for name in ("trees", "depth", "bins", "seed", "memory-mb"):
+    for name in ("trees", "depth", "bins", "seed", "leaf-rows"):
         default = getattr(ForestParams, name.replace("-", "_"))
         parser.add_argument(f"--{name}", type=int, default=default, help="of the forest")
     return parser
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         args.multi_line, args.pandas_na, args.quote, args.fractions, args.partitions,
     )
     run_date = args.run_date or datetime.now(timezone.utc).date()
-    params = ForestParams(args.trees, args.depth, args.bins, args.seed, args.memory_mb)
+    params = ForestParams(args.trees, args.depth, args.bins, args.seed, args.leaf_rows)
     rated_only = not args.unrated_too
     run = None
     if args.job == "titles":
@@ -61,6 +61,7 @@ def main(argv: list[str] | None = None) -> None:
         run = jobs.daily_run(store, landed, run_date, params, args.on_duplicate, rated_only)
     if run is not None:
         print({name: round(value, 3) for name, value in run.metrics.items()})
+        ratings_model.prediction_sample(run.predictions).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Model
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reelmill.functions.casts import numeric
 from reelmill.functions.eras import era_flags, era_label
 from reelmill.functions.genres import UNKNOWN, genre_tokens
-from reelmill.operators.encode import genre_flags, genre_index, genre_places
+from reelmill.operators import forest
+from reelmill.operators.encode import dense_numbers, genre_flags, genre_places, genre_tokens_of
+from reelmill.operators.forest import Forest, ForestParams
 from reelmill.operators.joins import left_join
 from reelmill.operators.statistics import (
     column_ranges, exact_medians, latest_year, regression_metrics,
@@ -36,23 +36,6 @@ _RENAMES = {
 }
 
 
-@dataclass(frozen=True)
-class ForestParams:
-    """Forest settings. MLlib bins features and bounds depth (30 is its end), so depth and
-    bins are the memory knobs: raise them with executor memory.
-
-    ``partitions`` is part of the model: rows are dealt to so many partitions by title
-    id, and bootstrap samples are drawn in each. It is the same at every size.
-    """
-
-    trees: int = 200
-    depth: int = 10
-    bins: int = 64
-    seed: int = 42
-    memory_mb: int = 256
-    partitions: int = 8
-
-
 @dataclass(frozen=True)
 class FeatureSpec:
     """What the features learn from the whole table."""
@@ -63,7 +46,7 @@ class FeatureSpec:
 
 @dataclass(frozen=True)
 class ModelRun:
-    model: Model
+    model: Forest
     spec: FeatureSpec
     metrics: dict[str, float]
     predictions: DataFrame
@@ -159,7 +142,8 @@ def assemble(prepared: DataFrame, spec: FeatureSpec, location: str) -> DataFrame
     written as the plain columns that a stored vector consists of, which reads as one.
     A feature NULL in every row counts as zero.
     """
-    index = written_once(genre_index(prepared), f"{location}/genres")
+    tokens = written_once(genre_tokens_of(prepared), f"{location}/tokens")
+    index = written_once(dense_numbers(tokens, "genre"), f"{location}/genres")
     lists = genre_places(prepared, index)
     rows = left_join(prepared, lists, "genres", right_unique=True)
     dense = [F.coalesce(c.cast("double"), F.lit(0.0)) for c in dense_columns(spec)]
@@ -179,29 +163,12 @@ def assemble(prepared: DataFrame, spec: FeatureSpec, location: str) -> DataFrame
     return prepared.sparkSession.read.schema(schema).parquet(f"{location}/features")
 
 
-def spread(train: DataFrame, partitions: int) -> DataFrame:
-    """Training rows dealt by title id to a fixed number of partitions, in a fixed order.
-
-    Neither files, cores nor size of the table change which rows a tree samples.
-    """
-    needed = train.select("tconst", "features", "averageRating")
-    return needed.repartition(partitions, "tconst").sortWithinPartitions("tconst", "averageRating")
-
-
-def fit_forest(train: DataFrame, params: ForestParams = ForestParams()) -> Model:
-    """Random forest over all features at every split, bootstrap rows per tree."""
-    return RandomForestRegressor(
-        featuresCol="features",
-        labelCol="averageRating",
-        predictionCol="predictedRating",
-        numTrees=params.trees,
-        maxDepth=params.depth,
-        maxBins=params.bins,
-        seed=params.seed,
-        featureSubsetStrategy="all",
-        minInstancesPerNode=1,
-        maxMemoryInMB=params.memory_mb,
-    ).fit(spread(train, params.partitions))
+def feature_parts(rows: DataFrame, location: str) -> DataFrame:
+    """What ``assemble`` wrote to ``location``, each vector as its stored parts."""
+    schema = T.StructType([f for f in rows.schema if f.name != "features"])
+    parts = "type tinyint, size int, indices array<int>, values array<double>"
+    schema = schema.add("features", T.StructType.fromDDL(parts))
+    return rows.sparkSession.read.schema(schema).parquet(f"{location}/features")
 
 
 def train_and_evaluate(
@@ -209,7 +176,6 @@ def train_and_evaluate(
     scratch: str,
     params: ForestParams = ForestParams(),
     rated_only: bool = True,
-    fit: Callable[[DataFrame, ForestParams], Model] = fit_forest,
 ) -> ModelRun | None:
     """Train on the earlier years, evaluate on the later ones, predict the recent ones.
 
@@ -223,10 +189,15 @@ def train_and_evaluate(
     if not sizes["train_rows"] or not sizes["test_rows"]:
         return None
     spec = fit_features(prepared)
-    rows = assemble(prepared, spec, scratch)
-    model = fit(rows.where(in_train()), params)
-    recent = in_test() | in_apply(rated_only)
-    scored = written_once(model.transform(rows.where(recent)).drop("features"), f"{scratch}/scored")
+    rows = feature_parts(assemble(prepared, spec, scratch), scratch)
+    size = rows.select("features.size").first()["size"]
+    model = forest.fit(
+        rows.where(in_train()), len(NUMERIC_FEATURES), size, f"{scratch}/forest", params,
+        key="tconst", label="averageRating",
+    )
+    recent = rows.where(in_test() | in_apply(rated_only))
+    said = model.predict(recent, f"{scratch}/recent", prediction="predictedRating")
+    scored = written_once(said.drop("features"), f"{scratch}/scored")
     tested = scored.where(in_test())
     metrics = regression_metrics(tested, "averageRating", "predictedRating").first().asDict()
     metrics["train_rows"] = sizes["train_rows"]

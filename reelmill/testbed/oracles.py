@@ -353,9 +353,15 @@ CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
                count(*) FILTER (WHERE startYear BETWEEN 2000 AND 2020) AS train_rows,
                true AS beats_half_deviation, true AS mae_below_rmse
         FROM scored"""),
-    "prediction_sample": (("scored",), """
+    "rf_fully_grown": (("scored",), f"""
+        SELECT tconst, startYear, averageRating,
+               CASE WHEN abs(CAST(substr(tconst, 3) AS BIGINT) % 120 + 60
+                             - (SELECT median(runtimeMinutes) FROM prepared)) > 2
+                    THEN {_NEAR} END AS near
+        FROM scored WHERE startYear >= 2020"""),
+    "prediction_sample": (("scored",), f"""
         SELECT primaryTitle, startYear, genres, averageRating,
-               true AS hasActualRating, true AS in_range
+               true AS hasActualRating, {_NEAR} AS near, true AS in_range
         FROM scored WHERE startYear >= 2020 ORDER BY tconst LIMIT 20"""),
     "publish_predictions": (("scored",), f"""
         SELECT tconst, primaryTitle, startYear, genres, numVotes, averageRating, {_NEAR} AS near

@@ -6,7 +6,7 @@ from reelmill.operators import encode
 from reelmill.plans import jobs, ratings_model as rm
 from reelmill.sources.store import TableStore
 
-SMALL = rm.ForestParams(trees=20, depth=5, bins=32, partitions=4)
+SMALL = rm.ForestParams(trees=20, depth=5, bins=32)
 
 
 def fact(spark, n=2000):
@@ -77,7 +77,7 @@ def test_very_many_genres_train(spark, tmp_path):
         "genres", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.concat(
             F.lit("g"), ((F.substring("tconst", 3, 7).cast("int") * 4 + k) % 5000).cast("string"))), ",")
     )
-    params = rm.ForestParams(trees=2, depth=3, bins=8, partitions=4)
+    params = rm.ForestParams(trees=2, depth=3, bins=8)
     run = rm.train_and_evaluate(many, str(tmp_path / "m"), params)
     assert run.predictions.count() > 0 and run.model.numFeatures >= 5000
 
