@@ -9,18 +9,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reelmill.functions.eras import NO_YEAR_FALLBACK
 
-BUCKETS = 1024
+BUCKETS = 1000              # quantiles of an open interval that one pass takes
+SKETCH = 10                 # times as fine as the quantiles is the sketch they come from
+LAST_ROWS = 1 << 16         # rows of an interval whose distinct values are counted one by one
 
 
 @dataclass(frozen=True)
 class _Search:
-    """The value at ``rank`` of ``column`` lies in [low, high], ``below`` rows under it."""
+    """The value at ``rank`` of ``column`` lies in [low, high]."""
 
     column: str
     rank: int
     low: float
     high: float
-    below: int
+    rows: int               # in between, at most
 
 
 @dataclass(frozen=True)
@@ -44,14 +46,16 @@ def exact_medians(
     columns: Sequence[str],
     ranges: dict[str, Range] | None = None,
     buckets: int = BUCKETS,
+    last_rows: int = LAST_ROWS,
 ) -> dict[str, float | None]:
     """Exact interpolated median of every column, NULLs left out.
 
-    Every pass counts the rows of the interval that holds the middle in equal-width
-    buckets, all columns together, and goes on with the bucket hit. Counts combine
-    map-side and at most ``buckets`` rows per open interval come back, so no task
-    holds the values and the number of passes depends on their range, not on their
-    number: one pass for years or minutes, two or three for vote counts.
+    Every pass takes, for all columns together, a mergeable quantile sketch of the values
+    strictly inside the interval that holds the middle, and counts those below it and at
+    its lower end. The next interval is the two quantiles around the middle, so a pass leaves
+    some ``3 / buckets`` of the rows whatever the values' scale; an interval of few rows is
+    counted value by value. No task holds the values: one pass for a small table, two for
+    ten million rows, three for billions, beside the one for the ranges.
     """
     ranges = ranges or column_ranges(df, columns)
     found: dict[tuple[str, int], float] = {}
@@ -60,56 +64,89 @@ def exact_medians(
     for c in columns:
         n, low, high = ranges[c].rows, ranges[c].low, ranges[c].high
         ranks[c] = sorted({(n - 1) // 2, n // 2}) if n else []
-        searches += [_Search(c, rank, float(low), float(high), 0) for rank in ranks[c]]
+        searches += [_Search(c, rank, float(low), float(high), n) for rank in ranks[c]]
     while searches:
-        still_open = []
         for s in searches:
             if s.low == s.high:
                 found[s.column, s.rank] = s.low
-            else:
-                still_open.append(s)
-        searches = _narrow(df, still_open, buckets) if still_open else []
+        searches = [s for s in searches if s.low < s.high]
+        few = [s for s in searches if s.rows <= last_rows]
+        many = [s for s in searches if s.rows > last_rows]
+        for s, value in zip(few, _counted(df, few)):
+            found[s.column, s.rank] = value
+        searches = _narrowed(df, many, buckets)
     return {
         c: sum(found[c, r] for r in ranks[c]) / len(ranks[c]) if ranks[c] else None
         for c in columns
     }
 
 
-def _narrow(df: DataFrame, searches: list[_Search], buckets: int) -> list[_Search]:
-    intervals = sorted({(s.column, s.low, s.high) for s in searches})
+def _intervals(searches: list[_Search]) -> list[tuple[str, float, float]]:
+    return sorted({(s.column, s.low, s.high) for s in searches})
+
+
+def _value(column: str) -> Column:
+    return F.col(column).cast("double")
+
+
+def _narrowed(df: DataFrame, searches: list[_Search], buckets: int) -> list[_Search]:
+    """The searches with the interval between the quantiles around their rank."""
+    if not searches:
+        return []
+    steps = [k / buckets for k in range(buckets + 1)]
+    intervals, wanted = _intervals(searches), []
+    for column, low, high in intervals:
+        value = _value(column)
+        inside = (value > low) & (value < high)
+        wanted += [
+            F.count_if(value < low), F.count_if(value == low), F.count_if(inside),
+            F.approx_percentile(F.when(inside, value), steps, SKETCH * buckets),
+        ]
+    totals = df.agg(*[total.alias(f"_{i}") for i, total in enumerate(wanted)]).first()
+    narrowed = []
+    for s in searches:
+        k = 4 * intervals.index((s.column, s.low, s.high))
+        below, at_low, inside, cuts = totals[k : k + 4]
+        rank = s.rank - below - at_low          # among the values inside
+        if rank < 0:
+            low = high = s.low
+        elif rank >= inside:
+            low = high = s.high
+        else:
+            step = rank * buckets // inside
+            low, high = cuts[max(step - 1, 0)], cuts[min(step + 2, buckets)]
+        narrowed.append(_Search(s.column, s.rank, low, high, 4 * inside // buckets + 2))
+    return narrowed
+
+
+def _counted(df: DataFrame, searches: list[_Search]) -> list[float]:
+    """The values themselves, from the counts of all distinct ones in the intervals."""
+    if not searches:
+        return []
+    intervals = _intervals(searches)
     values = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("interval"),
-                F.when(F.col(c).between(low, high), F.col(c)).cast("double").alias("value"),
-                F.floor((F.col(c) - low) / (high - low) * (buckets - 1)).alias("bucket"),
+            F.when(
+                _value(c) <= high,
+                F.struct(F.lit(i).alias("interval"), F.greatest(_value(c), F.lit(low)).alias("value"), (_value(c) < low).alias("below")),
             )
             for i, (c, low, high) in enumerate(intervals)
         ]
     )
-    counted = (
-        df.select(F.inline(values))
-        .where("value is not null")
-        .groupBy("interval", "bucket")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        )
-        .collect()
-    )
-    histogram: dict[int, list] = {}
-    for row in sorted(counted, key=lambda r: (r["interval"], r["bucket"])):
-        histogram.setdefault(row["interval"], []).append(row)
-    narrowed = []
+    counted = df.select(F.inline(F.array_compact(values))).groupBy("interval", "below", "value").count()
+    histogram: list[list] = [[] for _ in intervals]
+    for row in sorted(counted.collect(), key=lambda r: (r["value"], not r["below"])):
+        histogram[row["interval"]].append(row)
+    found = []
     for s in searches:
-        below = s.below
-        for row in histogram[intervals.index((s.column, s.low, s.high))]:
-            if s.rank < below + row["rows"]:
-                narrowed.append(_Search(s.column, s.rank, row["low"], row["high"], below))
+        k = intervals.index((s.column, s.low, s.high))
+        rank = s.rank
+        for row in histogram[k]:
+            if rank < row["count"]:
+                found.append(row["value"])
                 break
-            below += row["rows"]
-    return narrowed
+            rank -= row["count"]
+    return found
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:

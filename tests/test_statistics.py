@@ -41,6 +41,42 @@ def test_heavy_value_and_wide_range(spark):
     assert (got["a"], got["b"], got["c"]) == (expected["a"], expected["b"], None)
 
 
+@settings(max_examples=8, deadline=None)
+@given(
+    values=st.lists(
+        st.floats(allow_nan=False, allow_infinity=False, allow_subnormal=False)
+        | st.sampled_from([0.0, 3.0, 1e-300, 1e300, -1e-300]),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_narrowing_passes_find_the_same(spark, values):
+    small = [v / 4 for v in values]         # the mean of two must not overflow
+    found = medians(spark, small, buckets=8, last_rows=4)
+    assert math.isclose(found, plain.median(small), rel_tol=1e-12, abs_tol=0)
+
+
+def test_few_passes_over_many_scales(spark, monkeypatch):
+    """Half a million doubles from 1e-300 to 1e300, most of them distinct, in two passes."""
+    df = spark.range(500_001).selectExpr(
+        "pow(10d, (xxhash64(id) % 300000) / 1000d) AS v", "if(id % 3 = 0, 7d, id / 7d) AS w"
+    ).cache()
+    passes = []
+    for name in ("_narrowed", "_counted"):
+        plain_step = getattr(statistics, name)
+
+        def step(frame, searches, *rest, plain_step=plain_step):
+            passes.extend([1] if searches else [])
+            return plain_step(frame, searches, *rest)
+
+        monkeypatch.setattr(statistics, name, step)
+    got = statistics.exact_medians(df, ["v", "w"])
+    expected = df.selectExpr("median(v) v", "median(w) w").first()
+    assert (got["v"], got["w"]) == (expected["v"], expected["w"])
+    assert len(passes) <= 2
+    df.unpersist()
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (4.0, 3.0), (None, 1.0)], "y double, p double")
     row = statistics.regression_metrics(df, "y", "p").first()
