@@ -13,14 +13,15 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from reelmill.functions.casts import null_tokens
+from reelmill.operators.forest import ForestParams
 from reelmill.plans import clean, marts, ratings_model, upsert
-from reelmill.plans.ratings_model import ForestParams, ModelRun
+from reelmill.plans.ratings_model import ModelRun
 from reelmill.session import written_once
 from reelmill.sources import schemas
 from reelmill.sources.files import (
     films_of_pages, read_pages, require_all_pages, scan_external_ids, scan_genre_dim, scan_tsv,
 )
-from reelmill.sources.store import TableStore, Version
+from reelmill.sources.store import PinnedTables, TableStore, Version
 
 BASICS_TABLE = "imdb_title_basics"
 RATINGS_TABLE = "imdb_title_ratings"
@@ -113,19 +114,17 @@ def upsert_titles(store: TableStore, on_duplicate: str = "error") -> None:
     Fails, and changes nothing, if one of the three tables is published meanwhile.
     """
     base = store.version()
-    staged = stage_upserts(
-        store,
-        store.read(BASICS_TABLE, base),
-        store.read(RATINGS_TABLE, base),
-        store.read(NOW_PLAYING_TABLE, base),
-        on_duplicate,
-    )
-    publish_or_discard(store, staged, base, [NOW_PLAYING_TABLE])
+    tables = store.pinned(base)
+    raw = (tables.read(name) for name in (BASICS_TABLE, RATINGS_TABLE, NOW_PLAYING_TABLE))
+    with store.attempt():
+        staged = stage_upserts(store, *raw, on_duplicate)
+        store.publish(staged, base, [NOW_PLAYING_TABLE])
 
 
 def publish_or_discard(
     store: TableStore, staged: dict[str, str], base: Version, reads: Iterable[str] = ()
 ) -> None:
+    """Publish folders staged outside an ``attempt``; they go if that fails."""
     try:
         store.publish(staged, base, reads)
     except Exception:
@@ -134,33 +133,37 @@ def publish_or_discard(
 
 
 def create_staging_views(store: TableStore, prefix: str = "") -> None:
-    """Temporary staging views over the published raw tables, for SQL by name."""
-    staged = staging(store)
-    staged[0].createOrReplaceTempView(f"{prefix}stg_imdb_title_basics")
-    staged[1].createOrReplaceTempView(f"{prefix}stg_imdb_title_ratings")
+    """Temporary staging views over the raw tables as of one commit, for SQL by name."""
+    basics, ratings = staging(store.pinned())
+    basics.createOrReplaceTempView(f"{prefix}stg_imdb_title_basics")
+    ratings.createOrReplaceTempView(f"{prefix}stg_imdb_title_ratings")
 
 
-def staging(store: TableStore, version: Version | None = None) -> tuple[DataFrame, DataFrame]:
-    return (
-        marts.stg_basics(store.read(BASICS_TABLE, version)),
-        marts.stg_ratings(store.read(RATINGS_TABLE, version)),
-    )
+def staging(tables: PinnedTables) -> tuple[DataFrame, DataFrame]:
+    """The staging views of both raw tables, read at one version."""
+    return marts.stg_basics(tables.read(BASICS_TABLE)), marts.stg_ratings(tables.read(RATINGS_TABLE))
+
+
+def laid_out(facts: DataFrame) -> DataFrame:
+    """The fact table in ranges of year and title: each file holds few years, a large year
+    lies in several files, and readers of some years skip the other files."""
+    ranged = facts.repartitionByRange("start_year", "tconst")
+    return ranged.sortWithinPartitions("start_year", "tconst")
 
 
 def build_marts(store: TableStore) -> None:
     """Fact table and genre marts: one commit for all four.
 
     Each mart reads the one written before it, so the join runs once; both genre
-    marts come from one pass over the exploded rows. The fact table is sorted by year
-    within its files, so that readers of some years skip the rest.
+    marts come from one pass over the exploded rows.
     """
     base = store.version()
-    facts = marts.fct_movies(*staging(store, base)).sortWithinPartitions("start_year")
-    fct = store.stage("fct_movies", facts)
-    exploded = store.stage(
-        "genre_exploded", marts.genre_exploded(store.read_staged("fct_movies", fct))
-    )
-    with store.scratch() as scratch:
+    with store.attempt(), store.scratch() as scratch:
+        joined = written_once(marts.fct_movies(*staging(store.pinned(base))), f"{scratch}/facts")
+        fct = store.stage("fct_movies", laid_out(joined))
+        exploded = store.stage(
+            "genre_exploded", marts.genre_exploded(store.read_staged("fct_movies", fct))
+        )
         rows = store.read_staged("genre_exploded", exploded)
         partials = written_once(marts.genre_partials(rows), f"{scratch}/partials")
         staged = {
@@ -171,7 +174,7 @@ def build_marts(store: TableStore) -> None:
             ),
             "genre_summary": store.stage("genre_summary", marts.summary_from_partials(partials)),
         }
-    publish_or_discard(store, staged, base, [BASICS_TABLE, RATINGS_TABLE])
+        store.publish(staged, base, [BASICS_TABLE, RATINGS_TABLE])
 
 
 def publish_model_results(
@@ -183,15 +186,16 @@ def publish_model_results(
     """
     if run is None:
         return False
-    predictions = store.stage("imdb_rating_predictions", run.predictions)
-    trends = ratings_model.genre_rating_trends(
-        store.read_staged("imdb_rating_predictions", predictions)
-    )
-    staged = {
-        "imdb_rating_predictions": predictions,
-        "imdb_genre_rating_trends": store.stage("imdb_genre_rating_trends", trends),
-    }
-    publish_or_discard(store, staged, base or store.version(), ["fct_movies"] if base else [])
+    with store.attempt():
+        predictions = store.stage("imdb_rating_predictions", run.predictions)
+        trends = ratings_model.genre_rating_trends(
+            store.read_staged("imdb_rating_predictions", predictions)
+        )
+        staged = {
+            "imdb_rating_predictions": predictions,
+            "imdb_genre_rating_trends": store.stage("imdb_genre_rating_trends", trends),
+        }
+        store.publish(staged, base or store.version(), ["fct_movies"] if base else [])
     return True
 
 
@@ -220,26 +224,21 @@ def daily_run(
     """The whole day. Readers see titles and snapshot change in one step, never the
     refreshed titles without the upserts. What was staged on the way is deleted."""
     base = store.version()
-    snapshot = store.stage(NOW_PLAYING_TABLE, now_playing_of(store, landed, run_date))
-    snapshots = store.read_staged(NOW_PLAYING_TABLE, snapshot)
-    fresh = {NOW_PLAYING_TABLE: snapshot}
-    if snapshots.isEmpty():
-        store.discard(snapshot)
-        snapshots = store.read(NOW_PLAYING_TABLE, base)
-        fresh = {}
-    cleaned = {
-        BASICS_TABLE: store.stage(BASICS_TABLE, basics_of(store, landed)),
-        RATINGS_TABLE: store.stage(RATINGS_TABLE, ratings_of(store, landed)),
-    }
-    try:
-        merged = stage_upserts(
-            store,
-            *[store.read_staged(table, location) for table, location in cleaned.items()],
-            snapshots,
-            on_duplicate,
-        )
-    finally:
+    with store.attempt():
+        snapshot = store.stage(NOW_PLAYING_TABLE, now_playing_of(store, landed, run_date))
+        snapshots = store.read_staged(NOW_PLAYING_TABLE, snapshot)
+        fresh = {NOW_PLAYING_TABLE: snapshot}
+        if snapshots.isEmpty():
+            store.discard(snapshot)
+            snapshots = store.read(NOW_PLAYING_TABLE, base)
+            fresh = {}
+        cleaned = {
+            BASICS_TABLE: store.stage(BASICS_TABLE, basics_of(store, landed)),
+            RATINGS_TABLE: store.stage(RATINGS_TABLE, ratings_of(store, landed)),
+        }
+        raw = (store.read_staged(table, location) for table, location in cleaned.items())
+        merged = stage_upserts(store, *raw, snapshots, on_duplicate)
         store.discard(*cleaned.values())
-    publish_or_discard(store, {**fresh, **merged}, base, [NOW_PLAYING_TABLE])
+        store.publish({**fresh, **merged}, base, [NOW_PLAYING_TABLE])
     build_marts(store)
     return train_and_publish(store, params, rated_only)

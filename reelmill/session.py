@@ -15,27 +15,42 @@ EXPANSION = 3                   # shuffled bytes per stored byte
 UNKNOWN_BYTES = 1 << 60         # estimates above this are Spark's "unknown"
 
 
+#: What the plans are written for, where neither the caller nor spark-submit says otherwise.
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.shuffle.partitions": "4000",
+}
+
+
 def build_session(app: str = "reelmill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the plans are written for.
 
-    AQE merges small shuffle partitions and splits skewed ones but adds none, so a query
-    that is not written by ``TableStore`` starts from ``spark.sql.shuffle.partitions``;
-    the default here is the number for some 0.5 TB of shuffled data, which a larger
-    cluster raises and a local run lowers. Writes size it themselves.
+    Defaults fill in what is not set; a session that already runs is returned as it is, with
+    only ``conf`` changed. AQE merges small shuffle partitions and splits skewed ones but adds
+    none, so a query that is not written by ``TableStore`` starts from
+    ``spark.sql.shuffle.partitions``; the default is the number for some 0.5 TB of shuffled
+    data, which a larger cluster raises and a local run lowers. Writes size it themselves.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "4000")
-    )
+    running = SparkSession.getActiveSession()
+    builder = SparkSession.builder if running else SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    return session if running else with_defaults(session)
+
+
+def with_defaults(session: SparkSession) -> SparkSession:
+    """Set on the session the defaults that its application was started without."""
+    given = session.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not given.contains(key):
+            session.conf.set(key, value)
+    return session
 
 
 def input_bytes(df: DataFrame) -> float:

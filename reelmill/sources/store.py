@@ -5,8 +5,8 @@ one small commit file naming the current folder of every table, so several table
 change together or not at all. Works on any file system Spark can write whose
 rename is atomic (HDFS, a shared mount, a local disk), not on plain object stores.
 
-A job takes the ``version`` when it starts, reads its inputs at it and names it when it
-publishes; if one of those tables has moved since, the publish fails and changes nothing.
+A job takes the ``version`` when it starts, reads its inputs at it (``pinned``) and names it when
+it publishes; if one of those tables has moved since, the publish fails and changes nothing.
 """
 
 from __future__ import annotations
@@ -43,6 +43,22 @@ class ConflictError(RuntimeError):
     """A table that a job read was published by another writer in the meantime."""
 
 
+@dataclass(frozen=True)
+class PinnedTables:
+    """All tables of a store as of one commit, however many are published meanwhile."""
+
+    store: TableStore
+    version: Version
+
+    def read(self, table: str) -> DataFrame:
+        return self.store.read(table, self.version)
+
+    def create_views(self, prefix: str = "") -> None:
+        """Temporary views of every declared table, for SQL by name."""
+        for table in self.store.schemas:
+            self.read(table).createOrReplaceTempView(f"{prefix}{table}")
+
+
 class TableStore:
     """Named tables under one root folder."""
 
@@ -57,6 +73,7 @@ class TableStore:
         self._commits = self._path(f"{self.root}/_commits")
         self._fs = self._commits.getFileSystem(conf)
         self._context = self._hadoop.FileContext.getFileContext(self._commits.toUri(), conf)
+        self._attempts: list[list[str]] = []
 
     def version(self) -> Version:
         """The latest commit; what a job reads and later publishes against."""
@@ -81,10 +98,26 @@ class TableStore:
         """Write the rows as a new version that no reader sees yet."""
         location = f"{self.root}/{table}/{uuid.uuid4().hex}"
         rows = conform(df, self.schemas[table])
+        for attempt in self._attempts:
+            attempt.append(location)
         with sized_shuffles(rows):
             rows.write.mode("errorifexists").parquet(location)
         return location
 
+    @contextmanager
+    def attempt(self) -> Iterator[None]:
+        """What is staged inside is deleted if the block fails before it is published."""
+        staged: list[str] = []
+        self._attempts.append(staged)
+        try:
+            yield
+        except BaseException:
+            used = set(self.current().values())
+            self.discard(*[location for location in staged if location not in used])
+            raise
+        finally:
+            self._attempts.remove(staged)
+
     def publish(
         self, staged: dict[str, str], base: Version | None = None, reads: Iterable[str] = ()
     ) -> None:
@@ -140,10 +173,16 @@ class TableStore:
         self.publish({table: location})
         return True
 
+    def pinned(self, version: Version | None = None) -> PinnedTables:
+        """A handle that reads every table at one version, by default the latest."""
+        return PinnedTables(self, version or self._latest())
+
     def create_views(self, prefix: str = "") -> None:
-        """Temporary views of every declared table, for SQL by name."""
-        for table in self.schemas:
-            self.read(table).createOrReplaceTempView(f"{prefix}{table}")
+        """Temporary views of every declared table, all at one version."""
+        self.pinned().create_views(prefix)
+
+    def exists(self, location: str) -> bool:
+        return self._fs.exists(self._path(location))
 
     def vacuum(self, older_than_hours: float = 0.0) -> None:
         """Delete folders that are no longer current and were last written so long ago.

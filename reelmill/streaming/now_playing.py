@@ -1,9 +1,11 @@
 """Snapshot pages picked up as they land.
 
-The same refresh and upsert as the daily job. The stream's checkpoint remembers
-which page files were read, so a run handles exactly the pages that are new; all
-pages found by one trigger form one snapshot. The day of a batch is written beside the
-checkpoint before its first attempt, so a batch replayed after midnight gives the same rows.
+The same refresh and upsert as the daily job. The stream's checkpoint remembers which page
+files were read, so a run handles exactly the pages that are new. They are held beside the
+checkpoint, by batch, until all pages of the snapshot have landed: half a snapshot publishes
+nothing, the batch that completes it publishes it once. A page that lands again replaces the one
+held. The day of a batch is written beside the checkpoint before its first attempt, so a batch
+replayed after midnight gives the same rows.
 """
 
 from __future__ import annotations
@@ -11,12 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reelmill.plans import clean, jobs
 from reelmill.sources import schemas
-from reelmill.sources.files import films_of_pages, scan_external_ids, scan_genre_dim
+from reelmill.sources.files import (
+    films_of_pages, newest_snapshot, scan_external_ids, scan_genre_dim,
+)
 from reelmill.sources.store import TableStore
 
 
@@ -31,6 +35,13 @@ def day_of_batch(store: TableStore, path: str, run_date: Callable[[], date]) ->
     return store.spark.read.schema("day date").parquet(path).first()["day"]
 
 
+def hold_pages(store: TableStore, batch: DataFrame, folder: str, number: int) -> DataFrame:
+    """All pages held, those of this batch included; a replayed batch replaces its pages."""
+    batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+    schema = T.StructType([*schemas.PAGE.fields, T.StructField("batch", T.LongType())])
+    return store.spark.read.schema(schema).parquet(folder)
+
+
 def follow_pages(
     store: TableStore,
     landed: jobs.Landed,
@@ -48,8 +59,12 @@ def follow_pages(
 
     def apply(batch: DataFrame, number: int) -> None:
         day = day_of_batch(store, f"{checkpoint}/batch_days/{number}", run_date)
+        held = hold_pages(store, batch, f"{checkpoint}/held_pages", number)
+        snapshot, complete = newest_snapshot(held)
+        if not complete:
+            return
         films = clean.now_playing_clean(
-            films_of_pages(batch),
+            films_of_pages(snapshot),
             scan_genre_dim(store.spark, landed.genres, landed.multi_line),
             scan_external_ids(store.spark, landed.external_ids),
             day,
@@ -57,6 +72,7 @@ def follow_pages(
         )
         store.full_refresh(jobs.NOW_PLAYING_TABLE, films, skip_if_empty=True)
         jobs.upsert_titles(store, on_duplicate)
+        store.discard(f"{checkpoint}/held_pages")
 
     return (
         pages.writeStream.foreachBatch(apply)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from reelmill.__main__ import main
-from reelmill.plans import clean, jobs
+from reelmill.plans import clean, jobs, marts
 from reelmill.sources import files, schemas
 from reelmill.sources.store import ConflictError, TableStore
 from reelmill.streaming.now_playing import follow_pages
@@ -293,3 +293,100 @@ def test_stream_takes_each_page_once(spark, tmp_path):
     assert rows(store.read("imdb_title_basics").select("tconst", "primaryTitle")) == [
         ("tt1", "A2"), ("tt9", "C"),
     ]
+
+
+def test_half_a_snapshot_publishes_nothing_and_the_rest_publishes_once(spark, tmp_path):
+    """Three pages land over three triggers; a page that lands again replaces the held one."""
+    landed = land(tmp_path, spark, [[]])
+    folder = tmp_path / "pages"
+    (folder / "0.json").unlink()
+    store = TableStore(spark, str(tmp_path / "store"))
+
+    def run(day, **pages):
+        for name, (number, total, films) in pages.items():
+            page = {"page": number, "total_pages": total, "results": films}
+            (folder / f"{day}{name}.json").write_text(json.dumps(page))
+        follow_pages(store, landed, str(tmp_path / "c"), lambda: date(2024, 6, day)).awaitTermination()
+        return store.version().number
+
+    def titles():
+        return sorted(r["title"] for r in store.read("tmdb_now_playing").collect())
+
+    assert run(2, a=(1, 3, [FILMS[0]])) == 0
+    assert run(3, b=(2, 3, [dict(FILMS[1], title="stale")])) == 0
+    published = run(4, c=(2, 3, [FILMS[1]]), d=(3, 3, [FILMS[2]]))
+    assert published == 2 and titles() == ["A", "B", "C"]
+    assert run(5) == published
+    assert run(6, e=(2, 2, [FILMS[1]])) == published and titles() == ["A", "B", "C"]
+    assert run(7, f=(1, 2, [FILMS[2]])) == published + 2 and titles() == ["B", "C"]
+    assert not (tmp_path / "c" / "held_pages").exists()
+
+
+def test_views_of_one_version_though_another_is_published_between(spark, tmp_path):
+    class Busy(TableStore):
+        """Every read is followed by another writer's commit."""
+
+        def read(self, table, version=None):
+            found = super().read(table, version)
+            TableStore(spark, self.root).full_refresh("imdb_title_ratings", ratings(spark, ("tt1", 9.0, 9)))
+            return found
+
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.full_refresh("imdb_title_basics", basics(spark, ("tt1", "T", "T", 2000, 95, "X")))
+    store.full_refresh("imdb_title_ratings", ratings(spark, ("tt1", 1.0, 1)))
+    jobs.create_staging_views(Busy(spark, store.root), "busy_")
+    assert rows(spark.table("busy_stg_imdb_title_ratings").select("average_rating")) == [(1.0,)]
+    pinned = store.pinned()
+    store.full_refresh("imdb_title_ratings", ratings(spark, ("tt2", 2.0, 2)))
+    assert rows(pinned.read("imdb_title_ratings")) == [("tt1", 9.0, 9)]
+    pinned.create_views("pinned_")
+    assert rows(spark.table("pinned_imdb_title_ratings")) == [("tt1", 9.0, 9)]
+    assert rows(store.read("imdb_title_ratings")) == [("tt2", 2.0, 2)]
+
+
+def test_what_a_failed_job_staged_is_deleted(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.full_refresh("imdb_title_basics", basics(spark, ("tt1", "T", "T", 2000, 95, "X")))
+    store.full_refresh("imdb_title_ratings", ratings(spark, ("tt1", 1.0, 1)))
+    before = store.current()
+
+    def broken(*_):
+        raise RuntimeError("broken")
+
+    monkeypatch.setattr(marts, "summary_from_partials", broken)
+    with pytest.raises(RuntimeError, match="broken"):
+        jobs.build_marts(store)
+    assert store.current() == before
+    for table in ("fct_movies", "genre_exploded", "genre_yearly_metrics", "_scratch"):
+        assert not list((tmp_path / "store" / table).iterdir()), table
+
+
+def test_files_of_the_fact_table_hold_few_years(spark, tmp_path):
+    """The test years lie in few files, and a year of half the rows lies in several."""
+    import pyarrow.parquet as pq
+
+    store = TableStore(spark, str(tmp_path / "store"))
+    titles = spark.range(4000).selectExpr(
+        "concat('tt', id) AS tconst", "'T' AS primaryTitle", "'T' AS originalTitle",
+        "if(id % 2 = 0, 2024, 1990 + id % 30) AS startYear", "90L AS runtimeMinutes", "'X' AS genres",
+    )
+    store.full_refresh("imdb_title_basics", titles)
+    store.full_refresh("imdb_title_ratings", titles.selectExpr("tconst", "5.0d AS averageRating", "3L AS numVotes"))
+    keys = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in keys}
+    try:
+        for key, value in keys.items():
+            spark.conf.set(key, value)
+        jobs.build_marts(store)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    spans = []
+    for file in (tmp_path / store.current()["fct_movies"]).glob("*.parquet"):
+        groups = pq.ParquetFile(file).metadata
+        column = groups.schema.names.index("start_year")
+        stats = [groups.row_group(k).column(column).statistics for k in range(groups.num_row_groups)]
+        spans.append((min(s.min for s in stats), max(s.max for s in stats)))
+    assert len(spans) >= 12
+    assert sum(high >= 2000 and low <= 2003 for low, high in spans) <= 4
+    assert sum(low == high == 2024 for low, high in spans) >= 5
