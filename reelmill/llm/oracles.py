@@ -167,6 +167,9 @@ ASSIGN_SQL = (
     r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 )
 
+ALLOWED_SQL = " OR ".join(f"regexp_matches(hit, '{p}')" for p in ALLOWED if chr(92) + "1" not in p)
+ALLOWED_SQL += " OR length(replace(hit, hit[1], '')) = 0"
+
 CHECKS["op8_entropy_secrets"] = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 {found_sql("assign", 0, "assign", ASSIGN_SQL, f"length(regexp_extract(hits[i], '{ASSIGN_SQL}', 2)) >= {ASSIGN_VALUE}")},
@@ -175,13 +178,23 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 {found_sql("runs", 0, "run", "[0-9A-Za-z+/_=-]+", "length(hits[i]) >= 20")},
 base AS (SELECT doc_id, s, r, kind, s + length(hit) AS e
          FROM (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hexes)),
+runs_asked AS (
+  SELECT doc_id, s, hit, regexp_full_match(hit, '[0-9A-Fa-f]+') AS is_hex FROM runs WHERE NOT ({ALLOWED_SQL})),
+free AS (
+  SELECT doc_id, s, hit, is_hex, p FROM (
+    SELECT *, unnest(range(s, s + length(hit))) AS p FROM runs_asked) r
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s <= r.p AND r.p < b.e)),
+islands AS (
+  SELECT doc_id, s, hit, is_hex, min(p) AS first, count(*) AS size
+  FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id, s ORDER BY p) AS island FROM free)
+  GROUP BY doc_id, s, hit, is_hex, island HAVING count(*) >= {SPAN}),
 asked AS (
-  SELECT doc_id, s, hit FROM runs r WHERE NOT ({" OR ".join(f"regexp_matches(hit, '{p}')" for p in ALLOWED if chr(92) + "1" not in p)}
-    OR length(replace(hit, hit[1], '')) = 0)
-  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s < r.s + length(r.hit) AND r.s < b.e)),
+  SELECT doc_id, s, is_hex, hit FROM (
+    SELECT doc_id, first AS s, is_hex, substr(hit, CAST(first - s + 1 AS BIGINT), size) AS hit FROM islands)
+  WHERE NOT ({ALLOWED_SQL})),
 classed AS (
   SELECT doc_id, s, lower(hit) AS h, 3 AS r, 'entropy_hex' AS kind, {CLASSES["entropy_hex"][2]} AS least
-  FROM asked WHERE regexp_full_match(hit, '[0-9A-Fa-f]+')
+  FROM asked WHERE is_hex
   UNION ALL
   SELECT doc_id, s, hit, 4, 'entropy_base64', {CLASSES["entropy_base64"][2]} FROM asked),
 slid AS (SELECT *, unnest(range(0, length(h) - {SPAN - 1})) AS k FROM classed),

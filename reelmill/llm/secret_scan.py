@@ -4,14 +4,16 @@ The base patterns find assignments to secret-like names, access keys and long he
 strings. The entropy method adds spans: in candidate strings (long runs of one character
 class) a window of ``WINDOW`` characters slides along; the counts of its characters are
 updated by the one that enters and the one that leaves, and with them the entropy. The
-part of a candidate covered by windows at or above the class's threshold is a finding,
-unless an allow-list pattern matches the candidate or a base finding overlaps it.
+part of a candidate covered by windows at or above the class's threshold is a finding, unless an
+allow-list pattern matches the candidate. Base findings are taken out of a candidate first and the
+windows slide over each part that remains, so a secret joined to another one is found too.
 
 Positions are code points, end exclusive. Everything is evaluated row by row on the JVM;
 nothing is shuffled.
 
-Defined results: NULL and empty texts have no findings (empty arrays); repeated rows are
-scanned each; a column named like a result is replaced.
+Defined results: NULL and empty texts have no findings (empty arrays); very long texts are
+scanned whole; repeated rows are scanned each; an empty table gives an empty one; a column named
+like a result is replaced.
 """
 
 from __future__ import annotations
@@ -172,6 +174,29 @@ def overlapping(found: Column, span: Column) -> Column:
     return F.exists(found, lambda f: (f["start"] < span["end"]) & (span["start"] < f["end"]))
 
 
+def uncovered(m: Column, base: Column) -> Column:
+    """The parts of a candidate, a window or longer, that no base finding covers."""
+    kind = "array<struct<start:int,end:int,hit:string>>"
+
+    def part(start: Column, end: Column) -> Column:
+        hit = F.substring(m["hit"], start - m["start"] + F.lit(1), end - start)
+        one = F.array(F.struct(start.alias("start"), end.alias("end"), hit.alias("hit")))
+        return F.when(end - start >= WINDOW, one).otherwise(F.array().cast(kind))
+
+    def step(state: Column, f: Column) -> Column:
+        return F.struct(
+            F.greatest(state["at"], f["end"]).alias("at"),
+            F.concat(state["parts"], part(state["at"], f["start"])).alias("parts"),
+        )
+
+    inside = F.filter(base, lambda f: (f["start"] < m["end"]) & (m["start"] < f["end"]))
+    start = F.struct(m["start"].alias("at"), F.array().cast(kind).alias("parts"))
+    cut = F.aggregate(
+        inside, start, step, lambda state: F.concat(state["parts"], part(state["at"], m["end"]))
+    )
+    return F.when(overlapping(base, m), cut).otherwise(F.array(m))
+
+
 def class_findings(text: Column, base: Column, kind: str) -> Column:
     """Findings among the candidates of one character class."""
     pattern, alphabet, threshold = CLASSES[kind]
@@ -186,7 +211,9 @@ def class_findings(text: Column, base: Column, kind: str) -> Column:
             ),
         )
 
-    asked = F.filter(matches(text, pattern), lambda m: ~suppressed(m["hit"]) & ~overlapping(base, m))
+    candidates = F.filter(matches(text, pattern), lambda m: ~suppressed(m["hit"]))
+    parts = F.flatten(F.transform(candidates, lambda m: uncovered(m, base)))
+    asked = F.filter(parts, lambda m: ~suppressed(m["hit"]))
     return findings(F.filter(F.transform(asked, part), lambda p: p["first"] > 0), kind)
 
 
