@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,15 +51,17 @@ def land_titles(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
     )
 
 
-def land_day(spark: SparkSession, sf_dir: str) -> Landed:
+def land_pages(spark: SparkSession, sf_dir: str) -> Landed:
+    """What pages are joined to, landed, and a folder for the pages themselves."""
     root = workspace(spark)
-    basics, ratings = land_titles(spark, sf_dir, root)
     ids = f"{root}/external_ids"
     inputs.crosswalk(spark, sf_dir).write.parquet(ids)
-    return Landed(
-        basics=basics,
-        ratings=ratings,
-        pages=write_json(inputs.pages(spark, sf_dir), f"{root}/pages"),
-        genres=write_json(genre_list(inputs.genre_dim(spark, sf_dir)), f"{root}/genres"),
-        external_ids=ids,
-    )
+    genres = write_json(genre_list(inputs.genre_dim(spark, sf_dir)), f"{root}/genres")
+    return Landed("", "", f"{root}/pages", genres, ids)
+
+
+def land_day(spark: SparkSession, sf_dir: str) -> Landed:
+    landed = land_pages(spark, sf_dir)
+    basics, ratings = land_titles(spark, sf_dir, workspace(spark))
+    write_json(inputs.pages(spark, sf_dir), landed.pages)
+    return replace(landed, basics=basics, ratings=ratings)

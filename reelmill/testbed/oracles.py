@@ -199,6 +199,13 @@ _GENRE_METRICS = """count(*) AS num_movies, round(sum(average_rating), 3) / coun
 _NEAR = """CASE WHEN CAST(substr(tconst, 3) AS BIGINT) % 7 <> 2
               AND CAST(substr(tconst, 3) AS BIGINT) % 101 <> 6 THEN true END"""
 
+_NEAR_AWAY = f"""
+        SELECT tconst, startYear, averageRating,
+               CASE WHEN abs(CAST(substr(tconst, 3) AS BIGINT) % 120 + 60
+                             - (SELECT median(runtimeMinutes) FROM prepared)) > 2
+                    THEN {_NEAR} END AS near
+        FROM scored WHERE startYear >= 2020"""
+
 # Query name -> (blocks it reads, SQL).
 CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
     "scan_tsv_basics": (("basics_raw",), "SELECT * FROM basics_raw"),
@@ -313,6 +320,26 @@ CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT genre, {_GENRE_METRICS} FROM exploded
         WHERE average_rating IS NOT NULL GROUP BY genre"""),
     "staging_views": (("fct",), "SELECT * FROM fct"),
+    "pinned_reads": (("ratings",), "SELECT * FROM ratings"),
+    "snapshot_stream": (("listed", "ids_text", "names_text", "crosswalk"), """
+        SELECT l.id AS tmdb_id, c.imdb_id, l.title, l.original_title, l.original_language,
+               CAST(TRY_CAST(l.release_date AS DATE) AS VARCHAR) AS release_date,
+               TRY_CAST(l.popularity AS DOUBLE) AS popularity, l.vote_average, l.vote_count,
+               t.genre_ids, n.genre_names, l.adult, '2024-06-02' AS snapshot_date,
+               0 AS after_half
+        FROM listed l
+        JOIN ids_text t ON t.id = l.id
+        JOIN names_text n ON n.id = l.id
+        LEFT JOIN crosswalk c ON c.tmdb_id = l.id"""),
+    "wide_medians": ((), f"""
+        SELECT median(CAST(l_extendedprice AS DOUBLE)) AS price,
+               median(CAST(l_extendedprice AS DOUBLE) / (l_orderkey + 1)) AS ratio,
+               median(CAST(l_quantity AS DOUBLE) * scale) AS scales
+        FROM (SELECT *, {" * ".join(f"CASE WHEN (l_orderkey >> {k}) % 2 = 1 THEN {2.0 ** -(2 ** k)!r}::DOUBLE ELSE 1 END" for k in range(8))} AS scale
+              FROM lineitem)"""),
+    "token_numbers": ((), """
+        SELECT title, CAST(row_number() OVER (ORDER BY title) - 1 AS INTEGER) AS place
+        FROM (SELECT 'Film ' || CAST(o_orderkey AS VARCHAR) AS title FROM orders)"""),
     "max_year": (("prepared",), "SELECT coalesce(max(startYear), 2035) AS max_year FROM prepared"),
     "feature_medians": (("prepared",), """
         SELECT CAST(median(startYear) AS DOUBLE) AS startYear,
@@ -353,12 +380,8 @@ CHECKS: dict[str, tuple[tuple[str, ...], str]] = {
                count(*) FILTER (WHERE startYear BETWEEN 2000 AND 2020) AS train_rows,
                true AS beats_half_deviation, true AS mae_below_rmse
         FROM scored"""),
-    "rf_fully_grown": (("scored",), f"""
-        SELECT tconst, startYear, averageRating,
-               CASE WHEN abs(CAST(substr(tconst, 3) AS BIGINT) % 120 + 60
-                             - (SELECT median(runtimeMinutes) FROM prepared)) > 2
-                    THEN {_NEAR} END AS near
-        FROM scored WHERE startYear >= 2020"""),
+    "rf_fully_grown": (("scored",), _NEAR_AWAY),
+    "rf_large_nodes": (("scored",), _NEAR_AWAY),
     "prediction_sample": (("scored",), f"""
         SELECT primaryTitle, startYear, genres, averageRating,
                true AS hasActualRating, {_NEAR} AS near, true AS in_range

@@ -14,6 +14,7 @@ from reelmill.plans import clean, jobs, marts, ratings_model as rm, upsert
 from reelmill.session import written_once
 from reelmill.sources import files, schemas
 from reelmill.sources.store import TableStore
+from reelmill.streaming.now_playing import follow_pages
 from reelmill.testbed import inputs, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,9 +464,57 @@ def staging_views(spark, sf_dir):
     )
 
 
+@query
+def pinned_reads(spark, sf_dir):
+    """The ratings as of the commit that a job began with, after a later one emptied the table."""
+    store = new_store(spark)
+    store.full_refresh("imdb_title_ratings", clean_ratings(spark, sf_dir))
+    tables = store.pinned()
+    store.full_refresh("imdb_title_ratings", clean_ratings(spark, sf_dir).where("false"))
+    return tables.read("imdb_title_ratings")
+
+
+@query
+def snapshot_stream(spark, sf_dir):
+    """The snapshot whose pages land over two triggers, and how many films the first published."""
+    landed = landing.land_pages(spark, sf_dir)
+    whole = inputs.pages(spark, sf_dir)
+    store, checkpoint = new_store(spark), landing.workspace(spark)
+    published = []
+    for part in (0, 1):
+        whole.where(F.col("page") % 2 == part).write.mode("append").json(landed.pages)
+        follow_pages(store, landed, checkpoint, lambda: RUN_DATE).awaitTermination()
+        published.append(store.read("tmdb_now_playing").count())
+    return dates_as_text(store.read("tmdb_now_playing")).withColumn("after_half", F.lit(published[0]))
+
+
 # Model
 
 
+@query
+def wide_medians(spark, sf_dir):
+    """Medians of doubles, of one scale and of many, from intervals narrowed several times."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    scale = F.lit(1.0)
+    for k in range(8):          # down to 1e-76, by exact powers of two
+        scale = scale * F.when(F.shiftright("l_orderkey", k) % 2 == 1, 2.0 ** -(2**k)).otherwise(1.0)
+    figures = lines.select(
+        F.col("l_extendedprice").cast("double").alias("price"),
+        (F.col("l_extendedprice") / (F.col("l_orderkey") + 1)).cast("double").alias("ratio"),
+        (F.col("l_quantity").cast("double") * scale).alias("scales"),
+    )
+    names = ("price", "ratio", "scales")
+    medians = statistics.exact_medians(figures, names, buckets=50, last_rows=100)
+    return spark.createDataFrame([medians], ", ".join(f"{name} double" for name in names))
+
+
+@query
+def token_numbers(spark, sf_dir):
+    """Titles numbered in order, a thousand to a task."""
+    titles = inputs.table(spark, sf_dir, "orders").selectExpr("concat('Film ', o_orderkey) AS title")
+    return encode.dense_numbers(titles, "title", at_once=1000)
+
+
 @query
 def max_year(spark, sf_dir):
     spec = rm.fit_features(prepared(spark, sf_dir))
@@ -545,17 +594,28 @@ def fully_grown(spark: SparkSession, sf_dir: str) -> rm.ModelRun:
     return rm.train_and_evaluate(fct, landing.workspace(spark), ForestParams(depth=None))
 
 
-@query
-def rf_fully_grown(spark, sf_dir):
-    """Predictions of trees grown until they fit, for titles away from the median running time,
-    which also stands for the unknown ones: all near what was planted."""
-    run = fully_grown(spark, sf_dir)
+def away_from_median(run: rm.ModelRun) -> DataFrame:
+    """``near`` for titles away from the median running time, which also stands for unknown ones."""
     key = F.substring("tconst", 3, 20).cast("bigint")
     away = F.abs(key % 120 + 60 - F.lit(run.spec.medians["runtimeMinutes"])) > 2
     tested = near(run.predictions).select("tconst", "startYear", "averageRating", "near")
     return tested.withColumn("near", F.when(away, F.col("near")))
 
 
+@query
+def rf_fully_grown(spark, sf_dir):
+    """Predictions of trees grown until they fit: all near what was planted."""
+    return away_from_median(fully_grown(spark, sf_dir))
+
+
+@query
+def rf_large_nodes(spark, sf_dir):
+    """The same of trees whose nodes above 500 rows are split by all tasks together."""
+    fct = stored_fact(spark, sf_dir).read("fct_movies")
+    params = ForestParams(trees=40, leaf_rows=500)
+    return away_from_median(rm.train_and_evaluate(fct, landing.workspace(spark), params))
+
+
 @query
 def rf_predictions(spark, sf_dir):
     return near(trained(spark, sf_dir).predictions)
