@@ -12,7 +12,8 @@ partition; its task minimises the acceptor of the words' rests and composes it w
 itself. At a larger state Spark takes the arcs: words whose rests behind the arc are equal meet
 by that rest (at most one for each code point of the alphabet), and words go on to the states
 behind their next code point. So no task holds more than ``STATE_WORDS`` words, however many
-words begin alike, and the words are never held in one place.
+words begin alike, and the words are never held in one place. Only counts are shuffled by state;
+the list of large states is stored, so Spark joins words to it by its known size.
 
 Defined results: NULL and empty texts have no words; a NULL id counts as the empty text; very
 long texts are taken as a whole, row by row; repeated rows count again; ties for the form go
@@ -199,12 +200,11 @@ def near_pairs(words: DataFrame, space: Scratch, state_words: int = STATE_WORDS)
     open_words, depth = words.select(F.lit("").alias("state"), "word", "n"), 0
     while True:
         sizes = open_words.groupBy("state").agg(F.count("*").alias("size"))
-        sized = space.store(open_words.join(sizes, "state"), f"states{depth}")
-        large = F.col("size") > state_words
-        small.append(sized.where(~large))
-        if sized.where(large).isEmpty():
+        large = space.store(sizes.where(F.col("size") > state_words).select("state"), f"large{depth}")
+        small.append(open_words.join(large, "state", "left_anti"))
+        if large.isEmpty():
             break
-        hot = sized.where(large)
+        hot = space.store(open_words.join(large, "state", "left_semi"), f"states{depth}")
         found.append(space.store(composed_at(hot, depth), f"pairs{depth}"))
         depth += 1
         state = F.substring("word", 1, depth).alias("state")
