@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text, rows
+from reelmill.__main__ import main
 from reelmill.operators import encode
 from reelmill.plans import jobs, ratings_model as rm
 from reelmill.sources.store import TableStore
@@ -156,3 +157,12 @@ def test_tree_count(spark, trees, tmp_path):
     params = rm.ForestParams(trees=trees, depth=3)
     run = rm.train_and_evaluate(fact(spark, 400), str(tmp_path / "m"), params)
     assert run.model.getNumTrees == trees
+
+
+def test_model_job_shows_errors_and_sample(spark, tmp_path, capsys):
+    root = str(tmp_path / "store")
+    TableStore(spark, root).full_refresh("fct_movies", fact(spark, 400))
+    main(["model", "--root", root, "--trees", "5", "--leaf-rows", "100"])
+    shown = capsys.readouterr().out
+    assert "'rmse'" in shown and "predictedRating" in shown
+    assert shown.count("|true           |") == 20
