@@ -14,7 +14,9 @@ Documents of equal sets are one item from the start, so exact copies never meet
 
 Defined results: NULL, empty and blank texts have no shingles and stay alone; texts of
 fewer than five words are one shingle; rows with a NULL id stay alone, with a NULL
-component, and are kept; rows that repeat an id are one document with several texts.
+component, and are kept; rows that repeat an id are one document with several texts; very long
+texts are taken whole; an empty table gives no rows; other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ benchmark's size: one pass over the texts for each block, spans and items carrie
 Defined results: NULL and empty texts have no words and no hits; benchmark rows without
 words match nothing; rows without ``item_id`` count as hits but are not listed; repeated
 items and rows count once; repeated documents are marked each; an empty benchmark hits
-nothing. Input columns named like a result are replaced.
+nothing; a very long text is a shard of its own; an empty table gives an empty one. Input columns
+named like a result are replaced.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ sentence with an open end belong to it; unknown lines next to each other are one
 Row by row, without a shuffle; only texts with a word of licences leave the JVM.
 
 Defined results: NULL and empty texts have no sentences (empty arrays); repeated rows are
-scanned each; columns named like a result are replaced.
+scanned each; very long texts are scanned whole; an empty table gives an empty one; columns named
+like a result are replaced.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ repeated windows of eight, fail before that. All of it is evaluated row by row o
 without a shuffle; the time grows with ``n log n`` of a text's words.
 
 Defined results: NULL and empty texts have no words and fail; repeated rows are judged
-each; columns named like a result are replaced.
+each; very long texts are judged whole; an empty table gives an empty one; columns named like a
+result are replaced.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ are verified.
 
 Defined results: NULL and empty texts have no paragraphs; rows without an id are left out;
 rows that repeat an id with another text are told apart by the text, equal rows are
-occurrences of their own; paragraphs that occur once and have no link are left out.
+occurrences of their own; paragraphs that occur once and have no link are left out; very long lines
+are one paragraph each; an empty table gives no rows; other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations

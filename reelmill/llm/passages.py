@@ -10,7 +10,8 @@ that overlaps its own first place stays with it.
 
 Defined results: NULL texts and texts of fewer than ``WINDOW`` words have no passages; rows
 without an id are left out; rows that repeat an id with another text are told apart by the
-text, equal rows are one.
+text, equal rows are one; very long texts are taken whole; an empty table gives no rows; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

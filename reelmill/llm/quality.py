@@ -8,7 +8,9 @@ one weight for each of 2^20 buckets, whatever the data's size.
 
 Defined results: NULL and empty texts have no indicators and get the intercept's score;
 repeated rows are scored each; rows without an id are scored and count as not held out;
-without labels of both classes every score is the share of label 1 (0.5 without any).
+without labels of both classes every score is the share of label 1 (0.5 without any); very long
+texts are scored whole; an empty table gives an empty one; a column named like the score is
+replaced.
 """
 
 from __future__ import annotations

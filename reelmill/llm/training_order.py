@@ -16,7 +16,8 @@ rename once complete; a repeated task writes the same bytes.
 
 Defined results: NULL and empty texts have no tokens and appear in no sequence; rows
 without an id are written, and their id is left out of ``doc_ids``; repeated rows are
-written each; an empty table gives no shard.
+written each; a very long text runs over many sequences; an empty table gives no shard; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
