@@ -7,10 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from reelmill.llm.words import CACHE_WORDS, WordHashes, mixed, plain_words, sequence_hashes, text_bytes
+from reelmill.llm.words import WordHashes, mixed, plain_words, sequence_hashes, text_bytes
 
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
@@ -18,6 +19,9 @@ SAMPLE_ROWS = 8_000         # labelled rows that a classifier is fitted on, at m
 
 PREFIXES = (4, 5, 6, 7)     # characters of a word's beginning
 
+CACHE_BYTES = 64 << 20      # estimated size of what a task remembers of words
+ENTRY_BYTES = 260           # of one word beside its characters: dictionary, number, hashes
+
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
 
 
@@ -51,13 +55,14 @@ class WordIndicators:
     """Which words a text has, case apart, and which word beginnings, by how many words.
 
     A beginning of ``PREFIXES`` characters counts once for each distinct word that has it;
-    there is one feature for one word or more, for two or more, and for three or more.
+    there is one feature for one word or more, for two or more, and for three or more. What is
+    remembered of the words met is bounded by bytes.
     """
 
     def __init__(self) -> None:
-        self.hashes = WordHashes()
         self.place: dict[bytes, int] = {}
         self.parts = np.zeros((1024, 1 + len(PREFIXES)), dtype=np.uint64)
+        self.held = 0
 
     def learn(self, word: bytes) -> int:
         if len(self.place) == len(self.parts):
@@ -65,12 +70,13 @@ class WordIndicators:
         text = word.decode(errors="replace")
         starts = [(b"^" + text[:k].encode()) if len(text) >= k else b"" for k in PREFIXES]
         row = self.place[word] = len(self.place)
-        self.parts[row, 0] = self.hashes[word]
-        self.parts[row, 1:] = [self.hashes[start] if start else 0 for start in starts]
+        self.parts[row, 0] = xxhash.xxh3_64_intdigest(word)
+        self.parts[row, 1:] = [xxhash.xxh3_64_intdigest(start) if start else 0 for start in starts]
+        self.held += len(word) + ENTRY_BYTES
         return row
 
     def __call__(self, text: bytes) -> np.ndarray:
-        if len(self.place) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.__init__()
         known = self.place
         rows = [known[w] if w in known else self.learn(w) for w in set(plain_words(text))]

@@ -11,7 +11,8 @@ scoring is row by row over all texts with one weight for each bucket and categor
 
 Defined results: NULL and empty texts have no words and get the intercepts' probability;
 repeated rows are scored each; a category without labels of both classes gets the share
-of its ones (0 without any label).
+of its ones (0 without any label); very long texts are scored whole; an empty table gives an empty
+one; columns named like a probability are replaced.
 """
 
 from __future__ import annotations
@@ -170,28 +171,29 @@ def train(
 def score(docs: DataFrame, model: bytes, categories: Sequence[str], text: str = "text") -> DataFrame:
     """``docs`` with a probability for each category (``p_<category>``)."""
     names = [f"p_{c}" for c in categories]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     taken = {n.lower() for n in names}
     kept = [f for f in docs.schema.fields if f.name.lower() not in taken or f.name == text]
     schema = T.StructType([*kept, *[T.StructField(n, T.DoubleType()) for n in names]])
     arrow = to_arrow_schema(schema)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        links = pickle.loads(shared.value)
-        weights = np.zeros((len(names), BUCKETS), dtype=np.float64)
+        links = pickle.loads(model)
+        known = np.unique(np.concatenate([np.empty(0, dtype=np.int64), *(link["words"] for link in links)]))
+        weights = np.zeros((len(names), len(known)))
         for row, link in zip(weights, links):
-            row[link["words"]] = link["weights"]
-        known = np.flatnonzero((weights != 0).any(axis=0))
+            row[np.searchsorted(known, link["words"])] = link["weights"]
         of = WordIndicators()
         for batch in batches:
-            rows = [of(value) for value in text_bytes(batch.column(text))]
-            rows = [row[np.isin(row, known, assume_unique=True)] for row in rows]
-            sums = np.array([weights[:, row].sum(axis=1) for row in rows]).reshape(len(rows), len(names))
-            earlier = np.zeros((len(rows), 0))
+            sums = np.zeros((batch.num_rows, len(names)))
+            for k, value in enumerate(text_bytes(batch.column(text))):
+                row = of(value)
+                place = np.searchsorted(known, row[np.isin(row, known, assume_unique=True)])
+                sums[k] = weights[:, place].sum(axis=1)
+            earlier = np.zeros((len(sums), 0))
             found = []
             for c in range(len(names)):
                 link = links[c] if c < len(links) else None
-                p = sigmoid(sums[:, c] + earlier @ link["chain"] + link["bias"]) if link else np.zeros(len(rows))
+                p = sigmoid(sums[:, c] + earlier @ link["chain"] + link["bias"]) if link else np.zeros(len(sums))
                 found.append(p)
                 earlier = np.concatenate([earlier, log_odds(p)[:, None]], axis=1)
             columns = [*[batch.column(f.name) for f in kept], *[pa.array(p, pa.float64()) for p in found]]
