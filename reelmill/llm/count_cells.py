@@ -41,7 +41,7 @@ from reelmill.llm.words import LOWER, text_bytes
 LEAST_DOCUMENTS = 10
 SCALE = 1_000_000_000
 TOP = 10
-HELD_ENTRIES = 200_000      # counts that a task holds before it hands them on
+HELD_ENTRIES = 400_000      # counts that a task holds before it hands them on
 HELD_BYTES = 64 << 20       # bytes of text counted before it does
 PIECE_BYTES = 4 << 20       # of one text cut into words at once
 
@@ -68,7 +68,7 @@ def partial_counts(docs: DataFrame) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses: dict[tuple[str, str], Counter] = defaultdict(Counter)
         documents: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        held = 0
+        held = entries = 0
 
         def handed_on() -> Iterator[pa.RecordBatch]:
             for (lang, source), terms in uses.items():
@@ -86,15 +86,17 @@ def partial_counts(docs: DataFrame) -> DataFrame:
             langs, sources = (batch.column(c).to_pylist() for c in GROUP)
             for lang, source, text in zip(langs, sources, text_bytes(batch.column("text"))):
                 counts, found = uses[lang, source], documents[lang, source]
+                entries -= len(counts)
                 seen: set[bytes] = set()
                 for words in pieces(text):
                     counts.update(words)
                     seen.update(words)
                 found.update(seen)
                 held += len(text)
-                if held > HELD_BYTES or sum(map(len, uses.values())) > HELD_ENTRIES:
+                entries += len(counts)
+                if held > HELD_BYTES or entries + len(uses) > HELD_ENTRIES:
                     yield from handed_on()
-                    held = 0
+                    held = entries = 0
         yield from handed_on()
 
     return docs.mapInArrow(counted, COUNTED)
