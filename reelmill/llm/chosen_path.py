@@ -114,7 +114,11 @@ def children(large: DataFrame, items: DataFrame, trees: int) -> DataFrame:
 
 
 def branch_out(items: DataFrame, trees: int, space: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Small nodes and large tight nodes, each as ``(node, item)``, of all trees."""
+    """Small nodes and large tight nodes, each as ``(node, item)``, of all trees.
+
+    The tight ones are written: every comparison of them reads them several times, and would
+    join them anew each time.
+    """
     frontier, leaves, tight = roots(items, trees), [], []
     for depth in range(DEPTH):
         sizes = space.store(
@@ -136,7 +140,7 @@ def branch_out(items: DataFrame, trees: int, space: Scratch) -> tuple[DataFrame,
         tight.append(large.join(is_tight, "node").select("node", "item"))
         frontier = down.join(parents.where("not tight"), "parent").select("node", "item")
     none = leaves[0].where("false")
-    return reduce(DataFrame.union, leaves), reduce(DataFrame.union, tight, none)
+    return reduce(DataFrame.union, leaves), space.store(reduce(DataFrame.union, tight, none), "tight")
 
 
 def near_duplicates(

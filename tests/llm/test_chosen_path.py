@@ -133,3 +133,12 @@ def test_sketch_agreement_follows_similarity(similarity):
     rest = rng.integers(0, 1 << 63, 1).astype(np.uint64)
     b = setlinks.minwise(np.concatenate([values[:both], rest]), 400)
     assert abs((a == b).mean() - both / 2001) < 0.08
+
+
+def test_large_tight_nodes_are_joined_once(spark):
+    """Every comparison reads the tight nodes from a table; a plan with joins would run them each time."""
+    same = [(k, [1] * 60) for k in range(setlinks.LEAF + 10)]
+    items = spark.createDataFrame(same, "item long, sketch array<int>")
+    _, tight = chosen_path.branch_out(items, 2, Scratch(spark, "test"))
+    assert {r["item"] for r in tight.collect()} == {k for k, _ in same}
+    assert "Join" not in tight._jdf.queryExecution().executedPlan().toString()
