@@ -102,19 +102,26 @@ def unsqueezed(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=TOKEN)
 
 
+def kept_encoder(sent: dict) -> Encoder:
+    """The encoder of a broadcast. A worker keeps its copy of the broadcast from task to task,
+    and with it the encoder and the pre-tokens it has met."""
+    if "encoder" not in sent:
+        sent["encoder"] = Encoder(Vocabulary(*sent["vocabulary"]), sent["model"], TOKEN.str)
+    return sent["encoder"]
+
+
 def packed(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
     """Texts as sequences of ``length`` tokens, packed within each partition."""
     end = len(vocabulary.tokens)
     if end > np.iinfo(TOKEN).max:
         raise ValueError("ids must fit two bytes")
     shared = docs.sparkSession.sparkContext.broadcast(
-        (vocabulary.tokens, vocabulary.pattern, serialised_model(vocabulary.tokens))
+        {"vocabulary": (vocabulary.tokens, vocabulary.pattern), "model": serialised_model(vocabulary.tokens)}
     )
     arrow = to_arrow_schema(PACKED)
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, pattern, model = shared.value
-        encoder = Encoder(Vocabulary(tokens, pattern), model, TOKEN.str)
+        encoder = kept_encoder(shared.value)
         held = np.empty(0, dtype=TOKEN)
         stop = np.full(1, end, dtype=TOKEN)
         owners: list[tuple[int | None, int]] = []       # document and its end in ``held``

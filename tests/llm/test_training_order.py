@@ -54,3 +54,12 @@ def test_empty_table(spark):
     placed, folder = to.materialise(df, default_vocabulary(), key=1)
     assert placed.count() == 0
     assert list(to.read_slots(folder)) == []
+
+
+def test_tasks_of_a_worker_share_an_encoder():
+    vocabulary = default_vocabulary()
+    sent = {"vocabulary": (vocabulary.tokens, vocabulary.pattern), "model": bpe.serialised_model(vocabulary.tokens)}
+    first = to.kept_encoder(sent)
+    ids = [i.tolist() for i in first.encode(["once met, known"])]
+    assert to.kept_encoder(sent) is first and " known" in first.known
+    assert [i.tolist() for i in to.kept_encoder(sent).encode(["once met, known"])] == ids
