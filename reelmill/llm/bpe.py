@@ -17,7 +17,7 @@ import re
 from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +82,14 @@ def ascii_pattern(pattern: str) -> re.Pattern:
     return re.compile("".join(parts), re.ASCII)
 
 
+def as_characters(tokens: list[bytes]) -> list[str]:
+    """Each byte as its printable character, all tokens in one pass."""
+    characters = np.frombuffer(b"".join(tokens), dtype=np.uint8).astype("<u4") + np.uint32(FIRST_CHARACTER)
+    text = characters.tobytes().decode("utf-32-le")
+    ends = list(accumulate(map(len, tokens), initial=0))
+    return [text[start:end] for start, end in zip(ends, ends[1:])]
+
+
 class Encoder:
     """Texts to ids inside a task; remembers the ids of pre-tokens it meets often.
 
@@ -94,7 +102,6 @@ class Encoder:
 
         self.processor = SentencePieceProcessor(model_proto=model)
         self.ranks = {token: rank for rank, token in enumerate(vocabulary.tokens)}
-        self.table = {b: FIRST_CHARACTER + b for b in range(256)}
         self.dtype = np.dtype(dtype)
         self.known: dict[str, bytes] = {}
         self.cut_any = regex.compile(vocabulary.pattern).findall
@@ -104,16 +111,16 @@ class Encoder:
         return self.cut_ascii(text) if text.isascii() else self.cut_any(text)
 
     def learn(self, tokens: list[str]) -> None:
-        whole = [self.ranks.get(token.encode()) for token in tokens]
-        rest = [token for token, rank in zip(tokens, whole) if rank is None]
+        raw = [token.encode() for token in tokens]
+        whole = list(map(self.ranks.get, raw))
+        rest = [k for k, rank in enumerate(whole) if rank is None]
         code = self.dtype.char
         self.known.update(
             (t, array(code, (rank,)).tobytes()) for t, rank in zip(tokens, whole) if rank is not None
         )
         if rest:
-            characters = [t.encode().decode("latin-1").translate(self.table) for t in rest]
-            ids = self.processor.encode(characters, num_threads=1)
-            self.known.update((t, array(code, row).tobytes()) for t, row in zip(rest, ids))
+            ids = self.processor.encode(as_characters([raw[k] for k in rest]), num_threads=1)
+            self.known.update((tokens[k], array(code, row).tobytes()) for k, row in zip(rest, ids))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; callers bound the characters they hand over at once."""

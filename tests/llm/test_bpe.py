@@ -56,3 +56,10 @@ def test_ranks_with_gaps_are_refused(tmp_path):
     path.write_text("YQ== 0\nYg== 2\n")
     with pytest.raises(ValueError):
         bpe.read_vocabulary(str(path), "a")
+
+
+def test_bytes_as_characters():
+    table = {b: bpe.FIRST_CHARACTER + b for b in range(256)}
+    tokens = [bytes(range(256)), b"", "h\u00e9 \U0001f600".encode(), b"x"]
+    assert bpe.as_characters(tokens) == [t.decode("latin-1").translate(table) for t in tokens]
+    assert bpe.as_characters([]) == []
