@@ -6,6 +6,8 @@ identity: sentencepiece then merges the pair of lowest rank first, leftmost on t
 which is byte-level BPE. Texts are cut into pre-tokens first and each is encoded on its
 own; a pre-token that is itself a token gets that id.
 
+A task makes its results a few megabytes of text at a time, whatever the size of a batch.
+
 Both directions work row by row, without a shuffle. NULL and empty texts encode to no
 ids; ids decode to the bytes of the text exactly. Ids outside the vocabulary fail.
 """
@@ -21,12 +23,16 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from reelmill.llm.words import by_bytes, sliced
+
 CACHE_TOKENS = 300_000      # pre-tokens whose ids a task remembers before it starts afresh
 GROUP_CHARACTERS = 1 << 20  # characters cut at once
+SLICE_IDS = 1 << 20         # ids decoded at once, beside one longer list
 FIRST_CHARACTER = 0x100     # byte b is written as the character FIRST_CHARACTER + b
 
 
@@ -162,7 +168,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, pattern, model = shared.value
         encoder = Encoder(Vocabulary(tokens, pattern), model)
-        for batch in batches:
+        for batch in by_bytes(batches, text):
             texts = [value or "" for value in batch.column(text).to_pylist()]
             flat = list(encoder.encode_all(texts))
             offsets = np.cumsum([0, *map(len, flat)])
@@ -183,7 +189,9 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value.__getitem__
-        for batch in batches:
+        for batch in chain.from_iterable(
+            sliced(b, pc.list_value_length(b.column(ids)), SLICE_IDS) for b in batches
+        ):
             lists = batch.column(ids)
             out = []
             for k in range(len(lists)):

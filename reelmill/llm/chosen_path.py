@@ -32,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from reelmill.llm.scratch import Scratch
 from reelmill.llm.setlinks import LEAF, minwise, settle
-from reelmill.llm.words import WordHashes, shingle_set, spaced_words, text_bytes
+from reelmill.llm.words import WordHashes, by_bytes, shingle_set, spaced_words, text_bytes
 
 PERCENT = 85
 MISSED = 1e-8               # share of pairs at the threshold that may meet in no tree
@@ -77,7 +77,7 @@ def sketched(docs: DataFrame, tokens: int, doc_id: str = "doc_id", text: str = "
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             sizes, marks, sketch = [], [], []
             for value in text_bytes(batch.column("text")):
                 values = shingle_set(hashes.of(spaced_words(value)))

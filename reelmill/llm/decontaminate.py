@@ -13,7 +13,7 @@ benchmark's size: one pass over the texts for each block, spans and items carrie
 Defined results: NULL and empty texts have no words and no hits; benchmark rows without
 words match nothing; rows without ``item_id`` count as hits but are not listed; repeated
 items and rows count once; repeated documents are marked each; an empty benchmark hits
-nothing; a very long text is a shard of its own; an empty table gives an empty one. Input columns
+nothing; a very long text is in one shard, whole; an empty table gives an empty one. Input columns
 named like a result are replaced.
 """
 
@@ -31,11 +31,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from reelmill.llm.fm_index import FMIndex
 from reelmill.llm.scratch import Scratch
-from reelmill.llm.words import plain_words, text_bytes
+from reelmill.llm.words import by_bytes, plain_words, text_bytes
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000     # windows broadcast at once: some 50 MB
-SHARD_BYTES = 24 << 20      # text bytes in one index; a longer text is a shard of its own
+SHARD_BYTES = 8 << 20       # text bytes in one index, beside one longer text
 
 SPAN = T.StructType(
     [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
@@ -153,16 +153,20 @@ def character_spans(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
+def symbols_of(words: list[bytes], block: Block) -> np.ndarray:
+    """Words as symbols of the block; the words themselves are held of one text at a time."""
+    return np.fromiter(map(block.symbols.get, words, repeat(0)), dtype=np.int32, count=len(words))
+
+
 def marked_shard(texts: list[bytes], earlier: list[tuple], block: Block) -> list[tuple]:
     """(n_words, items, hit word spans) of each text after searching one block."""
-    words = [plain_words(text) for text in texts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    symbols = [symbols_of(plain_words(text), block) for text in texts]
+    sizes = np.array([len(s) for s in symbols], dtype=np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1           # one 0 after each text
     ids = np.zeros(int((sizes + 1).sum()), dtype=np.int64)
-    for start, size, row in zip(starts, sizes, words):
-        ids[start : start + size] = np.fromiter(
-            map(block.symbols.get, row, repeat(0)), dtype=np.int64, count=size
-        )
+    for start, size, row in zip(starts, sizes, symbols):
+        ids[start : start + size] = row
+    del symbols
     window, at = occurrences(ids, block)
     doc = np.searchsorted(starts, at, side="right") - 1
     order = np.argsort(doc, kind="stable")
@@ -188,19 +192,9 @@ def search_block(df: DataFrame, block: Block, text: str) -> DataFrame:
     schema = T.StructType([*kept, *RESULTS.fields])
     arrow = to_arrow_schema(schema)
 
-    def shards(texts: list[bytes]) -> Iterator[slice]:
-        start = size = 0
-        for k, value in enumerate(texts):
-            size += len(value)
-            if size >= SHARD_BYTES:
-                yield slice(start, k + 1)
-                start, size = k + 1, 0
-        if start < len(texts):
-            yield slice(start, len(texts))
-
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Block(*shared.value)
-        for batch in batches:
+        for batch in by_bytes(batches, text, SHARD_BYTES):
             texts = text_bytes(batch.column(text))
             if again:
                 spans = [
@@ -209,9 +203,7 @@ def search_block(df: DataFrame, block: Block, text: str) -> DataFrame:
                 earlier = list(zip(batch.column("items").to_pylist(), spans))
             else:
                 earlier = [([], [])] * len(texts)
-            rows = []
-            for part in shards(texts):
-                rows += marked_shard(texts[part], earlier[part], windows)
+            rows = marked_shard(texts, earlier, windows)
             named = [[{"start": a, "end": b} for a, b in spans] for _, _, spans in rows]
             cut = [
                 [{"start": a, "end": b} for a, b in character_spans(value, spans)]

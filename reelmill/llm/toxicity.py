@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from reelmill.llm.indicators import (
     BUCKETS, SAMPLE_ROWS, WordIndicators, fitted, labelled_features, labelled_sample,
 )
-from reelmill.llm.words import text_bytes
+from reelmill.llm.words import by_bytes, text_bytes
 
 FOLDS = 3
 CHI_SQUARE = 15.1           # a word's statistic from which chance is below 1 in 10,000
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: bytes, categories: Sequence[str], text: str =
         for row, link in zip(weights, links):
             row[np.searchsorted(known, link["words"])] = link["weights"]
         of = WordIndicators()
-        for batch in batches:
+        for batch in by_bytes(batches, text):
             sums = np.zeros((batch.num_rows, len(names)))
             for k, value in enumerate(text_bytes(batch.column(text))):
                 row = of(value)

@@ -1,0 +1,32 @@
+import tracemalloc
+
+import pyarrow as pa
+
+from reelmill.llm import decontaminate
+from reelmill.llm.words import by_bytes
+
+
+def test_slices_are_bounded_by_bytes_and_keep_all_rows():
+    texts = ["a" * 30, None, "é" * 20, "", "b" * 500, "c" * 30, "d" * 60, None]
+    batches = [
+        pa.RecordBatch.from_pydict({"k": list(range(len(texts))), "text": pa.array(texts, pa.string())}),
+        pa.RecordBatch.from_pydict({"k": pa.array([], pa.int64()), "text": pa.array([], pa.string())}),
+    ]
+    for most in (1, 50, 100, 10_000):
+        parts = list(by_bytes(batches, "text", most))
+        rows = [(k, t) for p in parts for k, t in zip(p["k"].to_pylist(), p["text"].to_pylist())]
+        assert rows == list(enumerate(texts))
+        for part in parts:
+            sizes = sorted(len((t or "").encode()) for t in part["text"].to_pylist())
+            assert sum(sizes[:-1]) <= most
+    assert len(list(by_bytes(batches, "text", 100))) > 3
+
+
+def test_a_shard_does_not_hold_its_words_as_objects():
+    texts = [b" ".join(b"w%d" % (i * j % 9973) for j in range(500)) for i in range(400)]
+    block = decontaminate.block_of([{"phrase": "w1 w2 w3", "items": ["x"]}])
+    tracemalloc.start()
+    decontaminate.marked_shard(texts, [([], [])] * len(texts), block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * sum(map(len, texts))
