@@ -1,8 +1,10 @@
 import random
 
+import pyarrow as pa
 import pytest
 
-from reelmill.llm import paragraph_dedup as pd, setlinks
+from reelmill.llm import paragraph_dedup as pd, setlinks, words
+from reelmill.llm.scratch import Scratch
 
 from test_chosen_path import brute_force, family
 
@@ -78,3 +80,35 @@ def test_banding_reaches_its_recall():
         bands, rows = pd.tuned(similarity)
         assert bands * rows <= pd.MOST_TOKENS
         assert 1 - (1 - similarity**rows) ** bands >= pd.RECALL
+
+
+def test_a_task_holds_a_few_megabytes_of_a_batch(spark, monkeypatch):
+    line = " ".join(f"word{k}" for k in range(2000))
+    texts = [f"{line} {k}\n{line}" for k in range(600)]
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    taken = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, fn, schema: taken.append(fn) or self)
+    pd.paragraphs(docs, 3)
+    batch = pa.record_batch({"doc_id": range(600), "version": range(600), "text": texts})
+    cut = list(taken[0](iter([batch])))
+    sizes = [sum(len(texts[k]) for k in set(part["doc_id"].to_pylist())) for part in cut]
+    assert max(sizes) <= words.SLICE_BYTES + max(map(len, texts)) < sum(sizes)
+    whole = pa.Table.from_batches(cut)
+    assert whole["doc_id"].to_pylist() == [k for k in range(600) for _ in range(2)]
+    assert [texts[k][a:b] for k, a, b in zip(*(whole[c].to_pylist() for c in ("doc_id", "start", "end")))] == [
+        line for text in texts for line in text.split("\n")
+    ]
+
+
+def test_bands_are_not_sorted_and_texts_written_once(spark, monkeypatch):
+    plans, store = {}, Scratch.store
+
+    def noted(self, df, table, *more):
+        plans[table] = df._jdf.queryExecution().sparkPlan().toString()
+        return store(self, df, table, *more)
+
+    monkeypatch.setattr(Scratch, "store", noted)
+    docs = spark.createDataFrame(random_docs(3), "doc_id long, text string")
+    assert pd.removals(docs).count() > 0
+    assert "ShuffledHashJoin" in plans["members"] and "SortMergeJoin" not in plans["members"]
+    assert "contents" in plans and "parts" not in plans
